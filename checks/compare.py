@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import os
 import sys
 import time
 
@@ -88,7 +89,10 @@ def main() -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.autoBroadcastJoinThreshold", os.environ.get("CHECK_BROADCAST", "10MB"))
+        .config("spark.sql.session.timeZone", os.environ.get("CHECK_ZONE", "UTC"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -433,13 +433,16 @@ oracle(
     f"""SELECT * FROM asset a WHERE {_MYSQL} AND auth_mode = 'login_path'
     AND login_path IS NOT NULL""",
 )
+_MONTH = "date_trunc('month', stat_time)::TIMESTAMP"
+_MONTHLY = f", monthly AS (SELECT * REPLACE ({_MONTH} AS stat_time) FROM {{}})"
 _MYSQL_FACT = """stat_time, instance_id, logical_data_bytes, logical_index_bytes,
     logical_total_bytes, mysql_version, collect_status, error_msg,
     CAST(stat_time AS DATE) AS stat_date"""
 oracle(
     "s5_snapshot_scan_dates",
     ["snap"],
-    f"""SELECT {_MYSQL_FACT} FROM snap
+    _MONTHLY.format("snap")
+    + f""" SELECT {_MYSQL_FACT} FROM monthly
 WHERE stat_time >= TIMESTAMP '1996-01-01' AND stat_time < TIMESTAMP '1998-01-01'""",
 )
 oracle(
@@ -470,17 +473,19 @@ oracle("s8_asset_records", ["records"], "SELECT * FROM records")
 oracle(
     "k1_snapshot_append_roundtrip",
     ["snap"],
-    """SELECT stat_time, instance_id, logical_data_bytes, logical_index_bytes, logical_total_bytes,
-    physical_total_bytes, mongo_version, collect_status, error_msg,
-    CAST(stat_time AS DATE) AS stat_date FROM snap""",
+    _MONTHLY.format("snap")
+    + """ SELECT stat_time, instance_id, logical_data_bytes, logical_index_bytes,
+    logical_total_bytes, physical_total_bytes, mongo_version, collect_status, error_msg,
+    CAST(stat_time AS DATE) AS stat_date FROM monthly""",
 )
 oracle(
     "k2_objects_append_roundtrip",
     ["obj", "snap_obj"],
     newest("snap_obj", "instance_id", "runs")
+    + _MONTHLY.format("obj")
     + """ SELECT stat_time, instance_id, schema_name, table_name, 'InnoDB' AS engine, table_rows,
     data_bytes, index_bytes, total_bytes, CAST(stat_time AS DATE) AS stat_date
-FROM obj SEMI JOIN (SELECT instance_id FROM runs WHERE collect_status = 'ok') USING (instance_id)""",
+FROM monthly SEMI JOIN (SELECT instance_id FROM runs WHERE collect_status = 'ok') USING (instance_id)""",
 )
 oracle("k3_tsv_export_roundtrip", ["asset", "snap"], _instance_pairs(_R3_SIZES, _MYSQL))
 
@@ -502,14 +507,9 @@ judged AS (SELECT *, CASE WHEN type <> 'mongo' THEN 'unexpected_type'
     WHEN mongo_uri IS NULL THEN 'missing_uri'
     WHEN env NOT IN ('MOS', 'Purple', 'RTM', 'MIB2') THEN 'invalid_env'
     WHEN host = '' THEN 'invalid_uri' END AS reject_reason FROM filled)"""
-_JUDGED = """ SELECT line_no, instance_name, env, {host} AS host, port, reject_reason FROM judged"""
-oracle("f10_asset_validate", ["records"], _FILLED + _JUDGED.format(host="host"))
-# Any URI that is not a document one, a missing one included, has an empty host.
-oracle(
-    "f10_asset_validate_document",
-    ["doc_records"],
-    _DOC_FILLED + _JUDGED.format(host="coalesce(host, '')"),
-)
+_JUDGED = """ SELECT line_no, instance_name, env, host, port, reject_reason FROM judged"""
+oracle("f10_asset_validate", ["records"], _FILLED + _JUDGED)
+oracle("f10_asset_validate_document", ["doc_records"], _DOC_FILLED + _JUDGED)
 oracle(
     "p10_asset_defaults_relational",
     ["records"],
@@ -519,8 +519,7 @@ oracle(
     "p10_asset_defaults_document",
     ["doc_records"],
     _DOC_FILLED
-    + """ SELECT line_no, alias_name, env, type, is_active, coalesce(host, '') AS host, port
-    FROM filled""",
+    + """ SELECT line_no, alias_name, env, type, is_active, host, port FROM filled""",
 )
 
 
@@ -855,18 +854,18 @@ for _name, _days in (("d3_avg_daily_growth", 7), ("d3_avg_daily_growth_year", 36
         ["snap"],
         _growth(_days)
         + f""" SELECT instance_id, growth_bytes, {_between} AS days_between,
-    {gb(f"growth_bytes::DOUBLE / nullif({_between}, 0)")} AS avg_daily_growth_gb FROM grown""",
+    {gb(f"growth_bytes::DOUBLE / nullif({_between}, 0)")} + 0.0::DOUBLE AS avg_daily_growth_gb
+FROM grown""",
     )
 oracle(
     "d4_object_growth_topn",
     ["obj"],
-    f""", d AS (SELECT instance_id, schema_name, CAST(stat_time AS DATE) AS day,
+    f""", d AS (SELECT instance_id, CAST(stat_time AS DATE) AS day,
     arg_max(total_bytes, (stat_time, total_bytes)) AS size FROM obj GROUP BY ALL)
-SELECT f.instance_id, f.schema_name, f.size AS from_bytes, t.size AS to_bytes,
-    t.size - f.size AS growth_bytes
-FROM d f JOIN d t ON f.instance_id = t.instance_id AND f.schema_name = t.schema_name
+SELECT f.instance_id, f.size AS from_bytes, t.size AS to_bytes, t.size - f.size AS growth_bytes
+FROM d f JOIN d t ON f.instance_id = t.instance_id
 WHERE f.day = DATE '{GROWTH_FROM}' AND t.day = DATE '{GROWTH_TO}'
-ORDER BY growth_bytes DESC, f.instance_id, f.schema_name LIMIT 20""",
+ORDER BY growth_bytes DESC, f.instance_id LIMIT 20""",
 )
 oracle(
     "d5_schema_top5",

@@ -188,10 +188,16 @@ _report("s3_coll_stats_scan", read_coll_stats, "coll_documents")
 _report("s4_active_assets", lambda a: active_assets(a, "mysql", "login_path"), "asset")
 
 
+def _monthly(snapshots: DataFrame) -> DataFrame:
+    """The same rows as monthly runs: one stored partition per month instead of per day."""
+    month = F.date_trunc("month", "stat_time").cast("timestamp_ntz")
+    return snapshots.withColumn("stat_time", month)
+
+
 @query("s5_snapshot_scan_dates")
 def _(spark, sf_dir):
     path = scratch_path(spark, "snapshots")
-    append_snapshot(view(spark, sf_dir, "snap"), "mysql_instance", path)
+    append_snapshot(_monthly(view(spark, sf_dir, "snap")), "mysql_instance", path)
     return read_snapshots(spark, "mysql_instance", path, "1996-01-01", "1997-12-31")
 
 
@@ -228,7 +234,7 @@ def _(spark, sf_dir):
 @query("k1_snapshot_append_roundtrip")
 def _(spark, sf_dir):
     path = scratch_path(spark, "instances")
-    snapshots = view(spark, sf_dir, "snap")
+    snapshots = _monthly(view(spark, sf_dir, "snap"))
     append_snapshot(with_status(snapshots, "ok"), "mongo_instance", path)
     append_snapshot(with_status(snapshots, "failed"), "mongo_instance", path)
     return read_snapshots(spark, "mongo_instance", path)
@@ -237,7 +243,8 @@ def _(spark, sf_dir):
 @query("k2_objects_append_roundtrip")
 def _(spark, sf_dir):
     path = scratch_path(spark, "objects")
-    objects = rank_objects(view(spark, sf_dir, "obj").withColumn("engine", F.lit("InnoDB")))
+    objects = _monthly(view(spark, sf_dir, "obj")).withColumn("engine", F.lit("InnoDB"))
+    objects = rank_objects(objects)
     statuses = latest(view(spark, sf_dir, "snap_obj"), ["instance_id"])
     append_objects(objects, statuses, "mysql_object", path)
     return read_snapshots(spark, "mysql_object", path).drop("rank_no")
@@ -602,9 +609,7 @@ _report("d3_avg_daily_growth", lambda s: trends.avg_daily_growth(s, 7), "snap")
 _report("d3_avg_daily_growth_year", lambda s: trends.avg_daily_growth(s, 365), "snap")
 _report(
     "d4_object_growth_topn",
-    lambda o: trends.object_growth(
-        o, GROWTH_FROM, GROWTH_TO, 20, keys=("instance_id", "schema_name")
-    ),
+    lambda o: trends.object_growth(o, GROWTH_FROM, GROWTH_TO, 20, keys=("instance_id",)),
     "obj",
 )
 _report("d5_schema_top5", lambda o: trends.schema_top(o, 5), "obj")
