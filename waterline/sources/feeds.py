@@ -49,19 +49,28 @@ def read_table_stats_jdbc(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _parsed(documents: DataFrame, document: str, schema: T.StructType) -> DataFrame:
+    """The top-level fields of each document as columns; NULLs where the text is no JSON.
+
+    Unpacked by a generator and not by field access, which Spark would turn into one parse of the
+    text per field.
+    """
+    parsed = F.from_json(document, schema)
+    return documents.select("instance_id", F.inline(F.array(parsed)))
+
+
 def read_db_stats(documents: DataFrame, document: str = "document") -> DataFrame:
     """Database statistics from (instance_id, JSON text) rows, one row per listed database.
 
     A document without databases still gives one row, so that its instance is known.
     """
-    parsed = F.from_json(document, DB_STATS_DOCUMENT)
     return (
-        documents.select("instance_id", parsed.alias("d"))
+        _parsed(documents, document, DB_STATS_DOCUMENT)
         .select(
             "instance_id",
-            F.col("d.ok").alias("list_ok"),
-            F.col("d.version").alias("version"),
-            F.explode_outer("d.databases").alias("s"),
+            F.col("ok").alias("list_ok"),
+            "version",
+            F.explode_outer("databases").alias("s"),
         )
         .select(
             "instance_id",
@@ -77,22 +86,24 @@ def read_db_stats(documents: DataFrame, document: str = "document") -> DataFrame
 
 
 def read_coll_stats(documents: DataFrame, document: str = "document") -> DataFrame:
-    """Collection statistics from (instance_id, JSON text) rows, one row per collection."""
-    parsed = F.from_json(document, COLL_STATS_DOCUMENT)
+    """Collection statistics from (instance_id, JSON text) rows, one row per collection.
+
+    Documents whose database list was not readable give no rows.
+    """
     return (
-        documents.select("instance_id", parsed.alias("d"))
-        .where(F.col("d.ok") == 1)
-        .select("instance_id", F.explode("d.databases").alias("b"))
-        .select("instance_id", F.col("b.name").alias("db_name"), F.explode("b.collections"))
+        _parsed(documents, document, COLL_STATS_DOCUMENT)
+        .where(F.col("ok") == 1)
+        .select("instance_id", F.explode("databases").alias("d"))
+        .select("instance_id", F.col("d.name").alias("db_name"), F.explode("d.collections").alias("c"))
         .select(
             "instance_id",
             "db_name",
-            F.col("col.name").alias("coll_name"),
-            F.col("col.ok").alias("ok"),
-            F.col("col.count").alias("count"),
-            F.col("col.size").alias("size"),
-            F.col("col.totalIndexSize").alias("total_index_size"),
-            F.col("col.storageSize").alias("storage_size"),
+            F.col("c.name").alias("coll_name"),
+            F.col("c.ok").alias("ok"),
+            F.col("c.count").alias("count"),
+            F.col("c.size").alias("size"),
+            F.col("c.totalIndexSize").alias("total_index_size"),
+            F.col("c.storageSize").alias("storage_size"),
         )
     )
 
