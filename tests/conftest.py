@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", str(folder / "checkpoint"))
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .getOrCreate()
