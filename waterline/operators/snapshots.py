@@ -22,15 +22,24 @@ from waterline.functions import is_ok
 from waterline.model import DATE_COLUMN
 
 
-def _time_key(df: DataFrame, keys: Sequence[str], ts: str) -> list[str]:
-    """Join key of a row at a time; stored facts add their day so that partitions are pruned."""
-    return [*keys, ts, DATE_COLUMN] if DATE_COLUMN in df.columns else [*keys, ts]
+def _at_times(facts: DataFrame, times: DataFrame, ts: str) -> tuple[DataFrame, list[str]]:
+    """Times and join key parts that match facts; stored facts add their day.
 
-
-def _dated(times: DataFrame, facts: DataFrame, ts: str) -> DataFrame:
+    The day is their partition, so only the partitions that hold a wanted time are read.
+    """
     if DATE_COLUMN in facts.columns:
-        return times.withColumn(DATE_COLUMN, F.to_date(ts))
-    return times
+        return times.withColumn(DATE_COLUMN, F.to_date(ts)), [ts, DATE_COLUMN]
+    return times, [ts]
+
+
+def _rows_at(facts: DataFrame, times: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Fact rows whose (key, time) is in `times`."""
+    times, time_key = _at_times(facts, times, ts)
+    return facts.join(times, [*keys, *time_key], "left_semi")
+
+
+def _named(rows: DataFrame, keys: Sequence[str], fields: Sequence[str], prefix: str) -> DataFrame:
+    return rows.select(*keys, *[F.col(f).alias(f"{prefix}_{f}") for f in fields])
 
 
 def last_time(df: DataFrame, keys: Sequence[str], ts: str = "stat_time") -> DataFrame:
@@ -40,8 +49,7 @@ def last_time(df: DataFrame, keys: Sequence[str], ts: str = "stat_time") -> Data
 
 def latest(df: DataFrame, keys: Sequence[str], ts: str = "stat_time") -> DataFrame:
     """All rows at the newest time of their entity."""
-    newest = _dated(last_time(df, keys, ts), df, ts)
-    return df.join(newest, _time_key(df, keys, ts), "left_semi")
+    return _rows_at(df, last_time(df, keys, ts), keys, ts)
 
 
 def latest_ok(
@@ -77,27 +85,19 @@ def last_vs_prev(
     that satisfies it, and the previous time is the newest older one with such a row; every row
     at that previous time takes part, whether it satisfies `ok` or not.
     """
-    usable = F.lit(True) if ok is None else F.coalesce(ok, F.lit(False))
-    times = _dated(recent_times(df.where(usable), keys, ts), df, ts)
-    time_key = _time_key(df, keys, ts)
-    rows = df.select(*time_key, *measures, usable.alias("_usable")).join(times, time_key)
-
+    usable = df if ok is None else df.where(ok)
+    times = recent_times(usable, keys, ts)
     # age is 1 or 2. Testing its parity leaves the `age <= 2` limit alone in both branches, so
     # they share one shuffle instead of planning two different ones.
-    last = rows.where((F.col("age") % 2 == 1) & F.col("_usable"))
+    newest = F.col("age") % 2 == 1
+    last_times, prev_times = times.where(newest), times.where(~newest)
     if ok is not None:
-        newest = _dated(last_time(df, keys, ts), df, ts)
-        last = last.join(newest, time_key, "left_semi")
-    prev = rows.where(F.col("age") % 2 == 0)
-
-    def side(part: DataFrame, prefix: str) -> DataFrame:
-        return part.select(
-            *keys,
-            F.col(ts).alias(f"{prefix}_{ts}"),
-            *[F.col(m).alias(f"{prefix}_{m}") for m in measures],
-        )
-
-    return side(last, "last").join(side(prev, "prev"), list(keys), "left")
+        last_times = last_times.join(last_time(df, keys, ts), [*keys, ts], "left_semi")
+    last = _rows_at(usable, last_times, keys, ts)
+    prev = _rows_at(df, prev_times, keys, ts)
+    return _named(last, keys, [ts, *measures], "last").join(
+        _named(prev, keys, [ts, *measures], "prev"), list(keys), "left"
+    )
 
 
 def gate_latest_ok(df: DataFrame, instances: DataFrame, distinct: bool = False) -> DataFrame:
@@ -124,23 +124,18 @@ def aligned_last_vs_prev(
     """
     runs = last_vs_prev(instances, ["instance_id"], [], ts, is_ok(F.col(status)))
     object_key = ["instance_id", *object_keys]
-    columns = [*object_key, ts, *measures]
 
-    at_last = _dated(runs.withColumn(ts, F.col(f"last_{ts}")), objects, ts)
-    last = objects.join(at_last, _time_key(objects, ["instance_id"], ts)).select(
+    last_runs, time_key = _at_times(objects, runs.withColumn(ts, F.col(f"last_{ts}")), ts)
+    last = objects.join(last_runs, ["instance_id", *time_key]).select(
         *object_key,
         f"last_{ts}",
         f"prev_{ts}",
         *[F.col(m).alias(f"last_{m}") for m in measures],
     )
-    # Keep only the previous runs before pairing, not the whole object history.
+    # Only the previous runs are paired, not the whole object history.
     prev_runs = runs.select("instance_id", F.col(f"prev_{ts}").alias(ts))
-    at_prev = _dated(prev_runs, objects, ts)
-    prev = (
-        objects.join(at_prev, _time_key(objects, ["instance_id"], ts), "left_semi")
-        .select(*columns)
-        .withColumnsRenamed({ts: f"prev_{ts}", **{m: f"prev_{m}" for m in measures}})
-    )
+    prev = _rows_at(objects, prev_runs, ["instance_id"], ts)
+    prev = _named(prev, object_key, [ts, *measures], "prev")
     return last.join(prev, [*object_key, f"prev_{ts}"], "left")
 
 
