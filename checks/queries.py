@@ -54,6 +54,7 @@ from waterline.operators.rollups import (
     run_summary,
     with_totals,
 )
+from waterline.operators.size import is_small
 from waterline.operators.snapshots import (
     aligned_last_vs_prev,
     daily_grain,
@@ -604,7 +605,12 @@ _report(
 
 _report("d1_overview", trends.overview, "asset", "snap")
 _report("d2_growth_7d", lambda s: trends.growth(s, 7), "snap")
-_report("d2_growth_14d", lambda s: trends.growth(s, 14), "snap")
+_report(
+    "d2_growth_14d",
+    lambda a, s: trends.growth(s.join(a, "instance_id", "left_semi"), 14, few=is_small(a)),
+    "asset",
+    "snap",
+)
 _report("d3_avg_daily_growth", lambda s: trends.avg_daily_growth(s, 7), "snap")
 _report("d3_avg_daily_growth_year", lambda s: trends.avg_daily_growth(s, 365), "snap")
 _report(

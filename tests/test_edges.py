@@ -21,6 +21,7 @@ from waterline.model import BIG_OBJECT_BYTES, BIG_OBJECT_ROWS
 from waterline.operators.assets import load_assets, upsert_assets_fill, validate_assets
 from waterline.operators.filters import active_assets, big_objects, normalize_asset_types
 from waterline.operators.rollups import instance_storage_summary
+from waterline.operators.snapshots import collated
 from waterline.operators.status import derive_status
 from waterline.plans import collect, reports
 
@@ -390,3 +391,12 @@ def test_missing_feed_does_not_fail_others(spark):
     ]
     big = collect.collect_tables(stats, out, "2026-01-09 00:00:00", 0, 0)
     assert values(big, "instance_id", "table_name", "total_bytes", "rank_no") == [(1, "t", 15, 1)]
+
+
+def test_names_compare_by_bytes_unless_collated(spark):
+    a, s = assets(spark, (1, "MOS")), snaps(spark, (1, day(2), 1, "ok"))
+    t = tables(spark, (1, "Orders", day(1), 1, 1), (1, "orders ", day(2), 4, 1))
+    assert values(reports.r5(a, s, t), "diff_rows_fmt") == [("-",), ("-",)]
+    same = collated(t, ["schema_name", "table_name"])
+    assert values(reports.r5(a, s, same), "table_name", "diff_rows_fmt") == [("orders ", "+3")]
+    assert reports.r4(a, s, same).count() == 1

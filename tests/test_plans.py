@@ -61,6 +61,32 @@ def test_last_vs_prev_shares_its_shuffles(spark, sf_dir, shuffled_joins):
     assert plan.count("FileScan") == 2
 
 
+def test_few_entities_are_fetched_without_shuffling_facts(spark, sf_dir, shuffled_joins):
+    ok = F.col("collect_status") == "ok"
+    snapshots = view(spark, sf_dir, "snap")
+    plan = planned(last_vs_prev(snapshots, ["instance_id"], ["logical_total_bytes"], ok=ok, few=True))
+    assert plan.count("BroadcastHashJoin [instance_id") == 3
+    carrying = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # Only the search for times and the pairing of found rows shuffle.
+    assert not any("stat_time" in line for line in carrying if "logical" in line)
+
+
+def test_run_reports_read_objects_without_shuffling_them(spark, sf_dir, shuffled_joins):
+    """The objects of two runs are picked by broadcast; only they are shuffled to be paired."""
+    plan = planned(QUERIES["r10_doc_diff_top10"](spark, sf_dir))
+    assert "BroadcastHashJoin [instance_id" in plan
+
+
+def test_many_assets_are_not_broadcast(spark, sf_dir, monkeypatch, shuffled_joins):
+    monkeypatch.setattr("waterline.operators.size.MAX_BROADCAST_ROWS", 10)
+    from waterline.operators.size import is_small
+
+    assert not is_small(view(spark, sf_dir, "asset"))
+    plan = planned(QUERIES["r3_instance_diff"](spark, sf_dir))
+    assert "Broadcast" not in plan
+    assert QUERIES["r3_instance_diff"](spark, sf_dir).count() > 0
+
+
 def test_facts_are_hashed_on_key_and_time(spark, sf_dir, shuffled_joins):
     plan = planned(latest(view(spark, sf_dir, "snap"), ["instance_id"]))
     fact_side = [
@@ -112,9 +138,9 @@ def test_dates_select_partitions(spark, stored):
 
 def test_rows_are_fetched_from_the_wanted_days_only(spark, stored):
     ok = F.col("collect_status") == "ok"
-    df = last_vs_prev(stored, ["instance_id"], ["logical_total_bytes"], ok=ok)
+    df = last_vs_prev(stored, ["instance_id"], ["logical_total_bytes"], ok=ok, few=True)
     plan = planned(df)
-    assert "dynamicpruning" in plan
+    assert plan.count("dynamicpruning") >= 2
     plain = stored.drop(DATE_COLUMN)
     same = last_vs_prev(plain, ["instance_id"], ["logical_total_bytes"], ok=ok)
     assert sorted(map(str, df.collect())) == sorted(map(str, same.collect()))

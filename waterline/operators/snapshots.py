@@ -2,11 +2,14 @@
 
 Every operator here works in two steps. First the wanted times of each entity are found on the
 narrow key and time columns, with aggregates that combine before the shuffle. Then the rows at
-those times are fetched with an equality join on (key, time). The time table has at most two
-rows per entity: Spark broadcasts it while it is below spark.sql.autoBroadcastJoinThreshold, and
-then no fact row is shuffled to be filtered. Beyond that the facts are hashed on key *and* time,
-so an entity with very many snapshots is spread over all tasks, and rows repeated at one time are
-a skewed join that adaptive execution splits. No window ever holds the whole history of an entity.
+those times are fetched with an equality join on (key, time). No window ever holds the rows of an
+entity, so one with very many snapshots is no problem: its facts are hashed on key *and* time and
+spread over all tasks, and rows repeated at one time are a skewed join that adaptive execution
+splits.
+
+Where the caller has counted the entities (`few=True`, see operators.size) the time table is
+broadcast: it has one row per entity and time looked for. Then no fact is shuffled to be filtered,
+and stored facts are read from the day partitions that hold a wanted time only.
 
 Rows that share an entity's latest time are all kept, and pair with all rows at its previous time.
 """
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 
 from waterline.functions import is_ok
 from waterline.model import DATE_COLUMN
+from waterline.operators.size import broadcast_if
 
 
 def _at_times(facts: DataFrame, times: DataFrame, ts: str) -> tuple[DataFrame, list[str]]:
@@ -32,24 +36,38 @@ def _at_times(facts: DataFrame, times: DataFrame, ts: str) -> tuple[DataFrame, l
     return times, [ts]
 
 
-def _rows_at(facts: DataFrame, times: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+def _rows_at(
+    facts: DataFrame, times: DataFrame, keys: Sequence[str], ts: str, few: bool
+) -> DataFrame:
     """Fact rows whose (key, time) is in `times`."""
     times, time_key = _at_times(facts, times, ts)
-    return facts.join(times, [*keys, *time_key], "left_semi")
+    return facts.join(broadcast_if(few, times), [*keys, *time_key], "left_semi")
 
 
 def _named(rows: DataFrame, keys: Sequence[str], fields: Sequence[str], prefix: str) -> DataFrame:
     return rows.select(*keys, *[F.col(f).alias(f"{prefix}_{f}") for f in fields])
 
 
+def collated(
+    df: DataFrame, columns: Sequence[str], collation: str = "UNICODE_CI_RTRIM"
+) -> DataFrame:
+    """Compare the named text columns by a collation, here without case and trailing blanks.
+
+    Names differ by their bytes unless this is applied first.
+    """
+    return df.withColumns({c: F.collate(c, collation) for c in columns})
+
+
 def last_time(df: DataFrame, keys: Sequence[str], ts: str = "stat_time") -> DataFrame:
     """Newest time of each entity."""
     return df.groupBy(*keys).agg(F.max(ts).alias(ts))
 
 
-def latest(df: DataFrame, keys: Sequence[str], ts: str = "stat_time") -> DataFrame:
+def latest(
+    df: DataFrame, keys: Sequence[str], ts: str = "stat_time", few: bool = False
+) -> DataFrame:
     """All rows at the newest time of their entity."""
-    return _rows_at(df, last_time(df, keys, ts), keys, ts)
+    return _rows_at(df, last_time(df, keys, ts), keys, ts, few)
 
 
 def latest_ok(
@@ -57,9 +75,10 @@ def latest_ok(
     keys: Sequence[str] = ("instance_id",),
     ts: str = "stat_time",
     status: str = "collect_status",
+    few: bool = False,
 ) -> DataFrame:
     """Latest rows that succeeded; an entity whose newest run failed is absent."""
-    return latest(df, keys, ts).where(is_ok(F.col(status)))
+    return latest(df, keys, ts, few).where(is_ok(F.col(status)))
 
 
 def recent_times(
@@ -77,6 +96,7 @@ def last_vs_prev(
     measures: Sequence[str],
     ts: str = "stat_time",
     ok: Column | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Latest rows of each entity beside its previous ones.
 
@@ -92,22 +112,32 @@ def last_vs_prev(
     newest = F.col("age") % 2 == 1
     last_times, prev_times = times.where(newest), times.where(~newest)
     if ok is not None:
-        last_times = last_times.join(last_time(df, keys, ts), [*keys, ts], "left_semi")
-    last = _rows_at(usable, last_times, keys, ts)
-    prev = _rows_at(df, prev_times, keys, ts)
+        newest_times = broadcast_if(few, last_time(df, keys, ts))
+        last_times = last_times.join(newest_times, [*keys, ts], "left_semi")
+    last = _rows_at(usable, last_times, keys, ts, few)
+    prev = _rows_at(df, prev_times, keys, ts, few)
     return _named(last, keys, [ts, *measures], "last").join(
         _named(prev, keys, [ts, *measures], "prev"), list(keys), "left"
     )
 
 
-def gate_latest_ok(df: DataFrame, instances: DataFrame, distinct: bool = False) -> DataFrame:
+def _repeat(df: DataFrame, copies: str) -> DataFrame:
+    """Each row as many times as its `copies` column says, without that column."""
+    return df.withColumn(copies, F.explode(F.sequence(F.lit(1), copies))).drop(copies)
+
+
+def gate_latest_ok(
+    df: DataFrame, instances: DataFrame, distinct: bool = False, few: bool = False
+) -> DataFrame:
     """Rows of instances whose newest run succeeded.
 
     An instance with several successful rows at its newest time yields its rows that many times;
     `distinct=True` yields them once.
     """
-    passed = latest_ok(instances).select("instance_id")
-    return df.join(passed, "instance_id", "left_semi" if distinct else "inner")
+    passed = latest_ok(instances, few=few).groupBy("instance_id").agg(F.count("*").alias("_runs"))
+    if distinct:
+        return df.join(broadcast_if(few, passed), "instance_id", "left_semi")
+    return _repeat(df.join(broadcast_if(few, passed), "instance_id"), "_runs")
 
 
 def aligned_last_vs_prev(
@@ -117,26 +147,28 @@ def aligned_last_vs_prev(
     measures: Sequence[str],
     ts: str = "stat_time",
     status: str = "collect_status",
+    few: bool = False,
 ) -> DataFrame:
     """Objects seen in their instance's latest good run, beside the same objects in its previous one.
 
     Objects are anchored on the instance's times: one missing from the latest run is absent.
+    Runs repeated at one time repeat their objects.
     """
-    runs = last_vs_prev(instances, ["instance_id"], [], ts, is_ok(F.col(status)))
+    last_ts, prev_ts = f"last_{ts}", f"prev_{ts}"
+    pairs = last_vs_prev(instances, ["instance_id"], [], ts, is_ok(F.col(status)), few)
+    # One row per instance.
+    runs = pairs.groupBy("instance_id", last_ts, prev_ts).agg(F.count("*").alias("_pairs"))
     object_key = ["instance_id", *object_keys]
 
-    last_runs, time_key = _at_times(objects, runs.withColumn(ts, F.col(f"last_{ts}")), ts)
-    last = objects.join(last_runs, ["instance_id", *time_key]).select(
-        *object_key,
-        f"last_{ts}",
-        f"prev_{ts}",
-        *[F.col(m).alias(f"last_{m}") for m in measures],
+    last_runs, time_key = _at_times(objects, runs.withColumn(ts, F.col(last_ts)), ts)
+    last = objects.join(broadcast_if(few, last_runs), ["instance_id", *time_key]).select(
+        *object_key, last_ts, prev_ts, "_pairs", *[F.col(m).alias(f"last_{m}") for m in measures]
     )
     # Only the previous runs are paired, not the whole object history.
-    prev_runs = runs.select("instance_id", F.col(f"prev_{ts}").alias(ts))
-    prev = _rows_at(objects, prev_runs, ["instance_id"], ts)
+    prev_runs = runs.select("instance_id", F.col(prev_ts).alias(ts))
+    prev = _rows_at(objects, prev_runs, ["instance_id"], ts, few)
     prev = _named(prev, object_key, [ts, *measures], "prev")
-    return last.join(prev, [*object_key, f"prev_{ts}"], "left")
+    return _repeat(last.join(prev, [*object_key, prev_ts], "left"), "_pairs")
 
 
 def measure_diff(df: DataFrame, measures: Sequence[str]) -> DataFrame:

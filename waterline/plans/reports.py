@@ -24,6 +24,7 @@ from waterline.operators.ranking import (
     top_k,
 )
 from waterline.operators.rollups import env_rollup, env_rollup_diff
+from waterline.operators.size import broadcast_if, is_small
 from waterline.operators.snapshots import (
     aligned_last_vs_prev,
     gate_latest_ok,
@@ -38,9 +39,15 @@ COLLECTION = ("instance_id", "db_name", "coll_name")
 _ASSET_COLUMNS = ("env", "alias_name", "instance_name", "host", "port")
 
 
-def with_asset(df: DataFrame, assets: DataFrame) -> DataFrame:
+def with_asset(df: DataFrame, assets: DataFrame, few: bool = False) -> DataFrame:
     """Add the asset's labels; rows of unknown instances are dropped."""
-    return df.join(assets.select("instance_id", *_ASSET_COLUMNS), "instance_id")
+    labels = assets.select("instance_id", *_ASSET_COLUMNS)
+    return df.join(broadcast_if(few, labels), "instance_id")
+
+
+def of_assets(df: DataFrame, assets: DataFrame, few: bool) -> DataFrame:
+    """Rows of the given assets. Applied to facts first, it bounds their instances by the assets."""
+    return df.join(broadcast_if(few, assets.select("instance_id")), "instance_id", "left_semi")
 
 
 def _relational(assets: DataFrame) -> DataFrame:
@@ -65,8 +72,21 @@ def _sizes(measure: str, shown: str, missing: Column | None = None) -> list[Colu
     ]
 
 
-def _instances_last_vs_prev(instances: DataFrame, *measures: str) -> DataFrame:
-    return last_vs_prev(instances, INSTANCE, measures, ok=is_ok(F.col("collect_status")))
+def newest_runs(assets: DataFrame, instances: DataFrame) -> DataFrame:
+    """Latest snapshots of the assets with their labels."""
+    few = is_small(assets)
+    newest = latest(of_assets(instances, assets, few), INSTANCE, few=few)
+    return with_asset(newest, assets, few)
+
+
+def _instances_last_vs_prev(
+    assets: DataFrame, instances: DataFrame, *measures: str
+) -> DataFrame:
+    """Latest and previous snapshots of the assets with their labels."""
+    few = is_small(assets)
+    known = of_assets(instances, assets, few)
+    ok = is_ok(F.col("collect_status"))
+    return with_asset(last_vs_prev(known, INSTANCE, measures, ok=ok, few=few), assets, few)
 
 
 # Relational instances and tables
@@ -74,29 +94,25 @@ def _instances_last_vs_prev(instances: DataFrame, *measures: str) -> DataFrame:
 
 def r1(assets: DataFrame, instances: DataFrame) -> DataFrame:
     """Instances whose latest snapshot failed. Assets of any type count."""
-    failed = with_status(latest(instances, INSTANCE), STATUS_FAILED)
-    return (
-        with_asset(failed, filter_assets(assets))
-        .orderBy(*order_failed())
-        .select(
-            _env(),
-            "alias_name",
-            "instance_name",
-            "host",
-            "port",
-            F.col("stat_time").alias("last_stat_time"),
-            to_gb(F.col("logical_total_bytes")).alias("logical_total_gb"),
-            "mysql_version",
-            F.col("collect_status").alias("last_collect_status"),
-            "error_msg",
-        )
+    failed = with_status(newest_runs(filter_assets(assets), instances), STATUS_FAILED)
+    return failed.orderBy(*order_failed()).select(
+        _env(),
+        "alias_name",
+        "instance_name",
+        "host",
+        "port",
+        F.col("stat_time").alias("last_stat_time"),
+        to_gb(F.col("logical_total_bytes")).alias("logical_total_gb"),
+        "mysql_version",
+        F.col("collect_status").alias("last_collect_status"),
+        "error_msg",
     )
 
 
 def r2(assets: DataFrame, instances: DataFrame) -> DataFrame:
     """Environment summary, latest against previous."""
-    compared = _instances_last_vs_prev(instances, "logical_total_bytes")
-    envs = env_rollup_diff(with_asset(compared, _relational(assets)))
+    compared = _instances_last_vs_prev(_relational(assets), instances, "logical_total_bytes")
+    envs = env_rollup_diff(compared)
     change = fmt_signed_gb(F.col("diff_bytes"), F.col("compared_count") == 0)
     return envs.orderBy(*order_env_diff("diff_bytes", "last_bytes")).select(
         "env",
@@ -112,7 +128,7 @@ def r3(
 ) -> DataFrame:
     """Instances, latest against previous. `order` is 'size' or 'abs_diff'."""
     measures = ("logical_data_bytes", "logical_index_bytes", "logical_total_bytes")
-    compared = with_asset(_instances_last_vs_prev(instances, *measures), _relational(assets))
+    compared = _instances_last_vs_prev(_relational(assets), instances, *measures)
     names = ("instance_name", "instance_id")
     by_change = order_abs_diff("last_logical_total_bytes", "prev_logical_total_bytes", *names)
     by_size = order_by_size("last_logical_total_bytes", *names)
@@ -133,12 +149,22 @@ def r3(
     )
 
 
+def _gated(
+    objects: DataFrame, reported: DataFrame, instances: DataFrame, few: bool
+) -> DataFrame:
+    """Objects of instances whose newest run succeeded, with their labels."""
+    runs = of_assets(instances, reported, few)
+    return with_asset(gate_latest_ok(objects, runs, few=few), reported, few)
+
+
 def r4(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame:
     """Tables at their own latest snapshot, of instances whose latest run succeeded."""
-    current = with_asset(latest(objects, TABLE), _relational(assets))
+    reported = _relational(assets)
+    few = is_small(reported)
+    current = latest(of_assets(objects, reported, few), TABLE)
     names = ("alias_name", "instance_name", "schema_name", "table_name", "instance_id")
     return (
-        gate_latest_ok(current, instances)
+        _gated(current, reported, instances, few)
         .orderBy(*order_objects("total_bytes", *names))
         .select(
             _env(),
@@ -158,8 +184,10 @@ def r4(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame
 def _tables_last_vs_prev(
     assets: DataFrame, instances: DataFrame, objects: DataFrame, *measures: str
 ) -> DataFrame:
-    compared = last_vs_prev(objects, TABLE, measures)
-    return gate_latest_ok(with_asset(compared, _relational(assets)), instances)
+    reported = _relational(assets)
+    few = is_small(reported)
+    compared = last_vs_prev(of_assets(objects, reported, few), TABLE, measures)
+    return _gated(compared, reported, instances, few)
 
 
 def r5(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame:
@@ -238,29 +266,25 @@ def r6(
     assets: DataFrame, instances: DataFrame, status: str | None = STATUS_FAILED
 ) -> DataFrame:
     """Latest snapshots of document instances, failed ones by default; status=None gives all."""
-    newest = latest(instances, INSTANCE)
+    newest = newest_runs(_document(assets), instances)
     if status is not None:
         newest = with_status(newest, status)
-    return (
-        with_asset(newest, _document(assets))
-        .orderBy(*order_failed())
-        .select(
-            _env(),
-            "alias_name",
-            "instance_name",
-            F.col("stat_time").alias("last_stat_time"),
-            to_gb(F.col("logical_total_bytes")).alias("logical_total_gb"),
-            to_gb(F.col("physical_total_bytes")).alias("physical_total_gb"),
-            "mongo_version",
-            F.col("collect_status").alias("last_collect_status"),
-            "error_msg",
-        )
+    return newest.orderBy(*order_failed()).select(
+        _env(),
+        "alias_name",
+        "instance_name",
+        F.col("stat_time").alias("last_stat_time"),
+        to_gb(F.col("logical_total_bytes")).alias("logical_total_gb"),
+        to_gb(F.col("physical_total_bytes")).alias("physical_total_gb"),
+        "mongo_version",
+        F.col("collect_status").alias("last_collect_status"),
+        "error_msg",
     )
 
 
 def r7(assets: DataFrame, instances: DataFrame) -> DataFrame:
     """Environment summary of document instances; failed latest snapshots count too."""
-    envs = env_rollup(with_asset(latest(instances, INSTANCE), _document(assets)))
+    envs = env_rollup(newest_runs(_document(assets), instances))
     return envs.orderBy(*order_by_size("logical_bytes")).select(
         "env",
         "instance_count",
@@ -271,10 +295,8 @@ def r7(assets: DataFrame, instances: DataFrame) -> DataFrame:
 
 def r8(assets: DataFrame, instances: DataFrame, endpoint: bool = False) -> DataFrame:
     """Document instances, latest against previous."""
-    compared = with_asset(
-        _instances_last_vs_prev(instances, "logical_total_bytes", "physical_total_bytes"),
-        _document(assets),
-    )
+    measures = ("logical_total_bytes", "physical_total_bytes")
+    compared = _instances_last_vs_prev(_document(assets), instances, *measures)
     no_prev = F.col("prev_stat_time").isNull()
     order = order_by_size("last_logical_total_bytes", "instance_name", "instance_id")
     return compared.orderBy(*order).select(
@@ -291,7 +313,9 @@ def r8(assets: DataFrame, instances: DataFrame, endpoint: bool = False) -> DataF
 
 def r9(assets: DataFrame, objects: DataFrame, k: int = 50) -> DataFrame:
     """Largest collections at their own latest snapshot."""
-    current = with_asset(latest(objects, COLLECTION), _document(assets))
+    reported = _document(assets)
+    few = is_small(reported)
+    current = with_asset(latest(of_assets(objects, reported, few), COLLECTION), reported, few)
     order = [
         to_gb(F.col("logical_total_bytes")).desc(),
         *[F.asc(c) for c in COLLECTION],
@@ -323,8 +347,13 @@ _COLLECTION_MEASURES = (
 def _collections_last_vs_prev(
     assets: DataFrame, instances: DataFrame, objects: DataFrame, k: int
 ) -> DataFrame:
-    compared = aligned_last_vs_prev(instances, objects, COLLECTION[1:], _COLLECTION_MEASURES)
-    joined = with_asset(compared, _document(assets))
+    reported = _document(assets)
+    few = is_small(reported)
+    runs = of_assets(instances, reported, few)
+    compared = aligned_last_vs_prev(
+        runs, objects, COLLECTION[1:], _COLLECTION_MEASURES, few=few
+    )
+    joined = with_asset(compared, reported, few)
     names = ("alias_name", "instance_name", "db_name", "coll_name", "instance_id")
     rest = [F.desc(f"{side}_{m}") for side in ("last", "prev") for m in _COLLECTION_MEASURES]
     order = [*order_abs_diff("last_doc_count", "prev_doc_count", *names), *rest]

@@ -13,12 +13,12 @@ from waterline.model import DATE_COLUMN
 from waterline.operators.filters import filter_assets
 from waterline.operators.ranking import rank_objects, top_k, top_k_per_group
 from waterline.operators.snapshots import daily_grain, last_time, last_vs_prev, latest
-from waterline.plans.reports import INSTANCE, TABLE, with_asset
+from waterline.plans.reports import INSTANCE, TABLE, newest_runs
 
 
 def overview(assets: DataFrame, instances: DataFrame) -> DataFrame:
     """Latest capacity of every active instance, whatever its status."""
-    return with_asset(latest(instances, INSTANCE), filter_assets(assets)).select(
+    return newest_runs(filter_assets(assets), instances).select(
         env_label(F.col("env")).alias("env"),
         "alias_name",
         "instance_name",
@@ -30,19 +30,29 @@ def overview(assets: DataFrame, instances: DataFrame) -> DataFrame:
     )
 
 
-def growth(instances: DataFrame, days: int, size: str = "logical_total_bytes") -> DataFrame:
+def growth(
+    instances: DataFrame, days: int, size: str = "logical_total_bytes", few: bool = False
+) -> DataFrame:
     """Growth from the earliest good snapshot of the last `days` days to the latest good one.
 
     The days count back from each instance's own latest good snapshot. Of several rows at one
-    time the largest counts as latest and the smallest as earliest.
+    time the largest counts as latest and the smallest as earliest. `few` says that the instances
+    have been counted and may be broadcast.
     """
     good = instances.where(is_ok(F.col("collect_status"))).select("instance_id", "stat_time", size)
     newest = last_time(good, INSTANCE).withColumnRenamed("stat_time", "_newest")
-    since = F.col("_newest") - F.make_dt_interval(F.lit(days))
+    newest = newest.withColumn("_since", F.col("_newest") - F.make_dt_interval(F.lit(days)))
+    if few:
+        recent = good.join(F.broadcast(newest), "instance_id")
+    else:
+        # Matching days as well as instances spreads an instance with very many snapshots.
+        covered = F.sequence(F.to_date("_since"), F.to_date("_newest"))
+        wanted = newest.withColumn("_day", F.explode(covered))
+        dated = good.withColumn("_day", F.to_date("stat_time"))
+        recent = dated.join(wanted, ["instance_id", "_day"])
     point = F.struct("stat_time", size)
     return (
-        good.join(newest, "instance_id")
-        .where(F.col("stat_time") >= since)
+        recent.where(F.col("stat_time") >= F.col("_since"))
         .groupBy("instance_id")
         .agg(F.min(point).alias("first"), F.max(point).alias("last"))
         .select(
@@ -57,10 +67,10 @@ def growth(instances: DataFrame, days: int, size: str = "logical_total_bytes") -
 
 
 def avg_daily_growth(
-    instances: DataFrame, days: int = 7, size: str = "logical_total_bytes"
+    instances: DataFrame, days: int = 7, size: str = "logical_total_bytes", few: bool = False
 ) -> DataFrame:
     """Growth per day; NULL where the window holds a single day."""
-    grown = growth(instances, days, size)
+    grown = growth(instances, days, size, few)
     between = F.date_diff("last_stat_time", "first_stat_time")
     return grown.select(
         "instance_id",
