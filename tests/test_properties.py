@@ -72,9 +72,10 @@ def test_latest_keeps_ties(spark, rows):
     assert values(out, "instance_id", "logical_total_bytes", "collect_status") == want
 
 
+@pytest.mark.parametrize("few", [True, False])
 @FEW
 @given(rows=history, objects=history)
-def test_aligned(spark, rows, objects):
+def test_aligned(spark, few, rows, objects):
     seen = [(i, "t", t, b, b) for i, t, b, _ in objects]
     want = []
     runs = {(p[0], p[1], p[3]) for p in brute_pairs(rows, True)}
@@ -84,7 +85,11 @@ def test_aligned(spark, rows, objects):
             want += [(o[0], o[3], p[3]) for p in prev] or [(o[0], o[3], None)]
     assert len(runs) <= len({r[0] for r in rows})
     out = aligned_last_vs_prev(
-        snaps(spark, *rows), tables(spark, *seen), ["schema_name", "table_name"], ["total_bytes"]
+        snaps(spark, *rows),
+        tables(spark, *seen),
+        ["schema_name", "table_name"],
+        ["total_bytes"],
+        few=few,
     )
     got = values(out, "instance_id", "last_total_bytes", "prev_total_bytes")
     assert got == sorted(want, key=str)
@@ -142,16 +147,17 @@ def test_dense_numbers_are_stable(spark):
     assert values(first, "k", "n") == values(again, "k", "n")
 
 
+@pytest.mark.parametrize("few", [True, False])
 @FEW
 @given(rows=history)
-def test_growth(spark, rows):
+def test_growth(spark, few, rows):
     want = []
     for key in {r[0] for r in rows}:
         good = [(r[1], r[2]) for r in rows if r[0] == key and r[3] == "ok"]
         if good:
             recent = [g for g in good if g[0] >= max(good)[0] - timedelta(days=1)]
             want.append((key, max(recent)[1] - min(recent)[1]))
-    out = trends.growth(snaps(spark, *rows), 1)
+    out = trends.growth(snaps(spark, *rows), 1, few=few)
     assert values(out, "instance_id", "growth_bytes") == sorted(want, key=str)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waterline.functions import env_label, fmt_count_diff, is_ok, to_gb
@@ -16,6 +16,10 @@ from waterline.operators.snapshots import daily_grain, last_time, last_vs_prev,
 from waterline.plans.reports import INSTANCE, TABLE, newest_runs
 
 
+# About how many parts a growth window is matched in.
+_SPANS = 14
+
+
 def overview(assets: DataFrame, instances: DataFrame) -> DataFrame:
     """Latest capacity of every active instance, whatever its status."""
     return newest_runs(filter_assets(assets), instances).select(
@@ -45,11 +49,15 @@ def growth(
     if few:
         recent = good.join(F.broadcast(newest), "instance_id")
     else:
-        # Matching days as well as instances spreads an instance with very many snapshots.
-        covered = F.sequence(F.to_date("_since"), F.to_date("_newest"))
-        wanted = newest.withColumn("_day", F.explode(covered))
-        dated = good.withColumn("_day", F.to_date("stat_time"))
-        recent = dated.join(wanted, ["instance_id", "_day"])
+        # Matching a span of days as well as the instance spreads one with very many snapshots.
+        width = max(1, days // _SPANS)
+
+        def span(time: str) -> Column:
+            return F.floor(F.unix_date(F.to_date(time)) / width)
+
+        covered = F.sequence(span("_since"), span("_newest"))
+        wanted = newest.withColumn("_span", F.explode(covered))
+        recent = good.withColumn("_span", span("stat_time")).join(wanted, ["instance_id", "_span"])
     point = F.struct("stat_time", size)
     return (
         recent.where(F.col("stat_time") >= F.col("_since"))
