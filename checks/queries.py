@@ -132,10 +132,6 @@ _report("r10_doc_diff_wide", reports.r10_wide, "asset", "snap", "coll_aligned")
 # Collection
 
 
-def _statuses(assets: DataFrame, feed_summary: DataFrame, errors: DataFrame) -> DataFrame:
-    return collect.collect_instances(assets, feed_summary, errors, RUN_TS)
-
-
 _report(
     "c1_instance_summary",
     lambda a, t, e: collect.collect_instances(a, t, e, RUN_TS),
