@@ -20,8 +20,8 @@ from waterline.llm.tokens import END_BYTES, ChunkEncoder, batched
 
 SEQUENCE_TOKENS = 2048
 #: Windows of a group, the longest fragment, and the tokens per window that a group leaves free for imbalance.
-GROUP_WINDOWS = 64
-FRAGMENT_TOKENS = 512
+GROUP_WINDOWS = 256
+FRAGMENT_TOKENS = 256
 SLACK_TOKENS = 8
 #: Sequence ids of a task start at its partition number times this.
 SEQUENCES_PER_PARTITION = 1 << 36
