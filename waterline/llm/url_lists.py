@@ -161,7 +161,7 @@ OP4_SQL = rf"""
 WITH captures AS (
     SELECT page_id, url, DATE '2024-01-01' + {_sql_number('page_id::VARCHAR', 'fetched:')} % 366 AS fetched,
            nullif(regexp_replace(lower(regexp_extract(url, '^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.$', ''), '') AS host,
-           list_filter(string_split(regexp_extract(url, '^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/'), s -> s <> '') AS segments
+           list_filter(string_split(regexp_extract(url, '^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/'), lambda s: s <> '') AS segments
     FROM pages
 ), named AS (
     SELECT DISTINCT list, action, key FROM (
@@ -181,8 +181,8 @@ WITH captures AS (
     SELECT c.page_id, v.*, row_number() OVER (PARTITION BY c.page_id ORDER BY length(v.key) DESC, v.action, v.list, v.key, v.valid_from) AS place
     FROM (
         SELECT page_id, fetched, unnest(list_distinct(list_concat(
-            list_transform(range(1, len(string_split(host, '.')) + 1), i -> array_to_string(string_split(host, '.')[i:], '.')),
-            list_transform(range(1, len(segments) + 1), i -> host || '/' || array_to_string(segments[1:i], '/'))))) AS key
+            list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+            list_transform(range(1, len(segments) + 1), lambda i: host || '/' || array_to_string(segments[1:i], '/'))))) AS key
         FROM captures WHERE host IS NOT NULL
     ) c JOIN valid v ON v.key = c.key AND v.valid_from <= c.fetched AND (v.valid_to IS NULL OR c.fetched < v.valid_to)
 )
