@@ -28,29 +28,48 @@ MOST_BROADCAST = 200_000
 SALTS = 16
 
 
-def features(text: Column) -> list[Column]:
-    """What the model sees of a text, as doubles; a null text is an empty one."""
-    text = F.coalesce(text, F.lit(""))
-    chars = F.char_length(text).cast("double")
-    share = lambda n, of: F.coalesce(n / F.nullif(of, F.lit(0.0)), F.lit(0.0))
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    count = F.size(words).cast("double")
-    letters = F.regexp_count(text, F.lit(r"\p{L}")).cast("double")
-    capitals = F.regexp_count(text, F.lit(r"\p{Lu}")).cast("double")
-    symbols = F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s.,;:'()-]")).cast("double")
-    digits = F.regexp_count(text, F.lit(r"\p{N}")).cast("double")
-    distinct = share(F.size(F.array_distinct(words)).cast("double"), count)
+def with_counts(docs: DataFrame) -> DataFrame:
+    """Counts of a text's kinds of characters and words, each made once; a null text is an empty one."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    chars = F.char_length(text)
+    # What is gone without the kind; whole runs go at a time.
+    kind = lambda run: (chars - F.char_length(F.regexp_replace(text, run, ""))).cast("double")
+    return docs.withColumns(
+        {
+            "__chars": chars.cast("double"),
+            "__letters": kind(r"\p{L}+"),
+            "__capitals": kind(r"\p{Lu}+"),
+            "__symbols": kind(r"[^\p{L}\p{N}\s.,;:'()-]+"),
+            "__digits": kind(r"\p{N}+"),
+            "__breaks": (chars - F.char_length(F.replace(text, F.lit("\n"), F.lit("")))).cast("double"),
+            "__words": F.split(text, r"\s+"),
+        }
+    ).withColumns(
+        {
+            "__count": F.size("__words").cast("double"),
+            "__distinct": F.size(F.array_distinct("__words")).cast("double"),
+        }
+    )
+
+
+COUNTS = ("__chars", "__letters", "__capitals", "__symbols", "__digits", "__breaks", "__words", "__count", "__distinct")
+
+
+def features() -> list[Column]:
+    """What the model sees of a text, from its counts, as doubles."""
+    share = lambda n, of: F.col(n) / F.greatest(F.col(of), F.lit(1.0))
+    distinct = share("__distinct", "__count")
     raw = [
-        share(symbols, chars),
-        share(capitals, letters),
-        share(digits, chars),
-        share(letters, chars),
-        F.log1p(count),
+        share("__symbols", "__chars"),
+        share("__capitals", "__letters"),
+        share("__digits", "__chars"),
+        share("__letters", "__chars"),
+        F.log1p("__count"),
         distinct,
         # Long texts repeat words anyway; this compares with what their length lets expect.
-        distinct * F.log1p(count),
-        share(letters, count) / 10,
-        share(F.regexp_count(text, F.lit(r"\n")).cast("double"), count),
+        distinct * F.log1p("__count"),
+        share("__letters", "__count") / 10,
+        share("__breaks", "__count"),
     ]
     return raw + [F.sqrt(raw[i]) for i in (0, 1, 2)]
 
@@ -83,9 +102,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list[floa
     # At most `rows` ids, so safe to send to all executors.
     sample = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     seen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found = seen.select("doc_id", "good", F.array(*features(F.col("text"))).alias("x")).collect()
+    found = with_counts(seen).select("doc_id", "good", F.array(*features()).alias("x")).collect()
     found.sort(key=lambda r: (r["doc_id"], r["x"]))
-    width = len(features(F.lit("")))
+    width = len(features())
     return fit(np.array([r["x"] for r in found]).reshape(-1, width), np.array([r["good"] >= 0.5 for r in found]))
 
 
@@ -168,9 +187,8 @@ def classify(
     """
     results = ("evidence", "host_level", "path_level", "quality_score", "keep")
     docs = docs.drop(*results)
-    seen = features(F.col("text"))
-    line = sum((F.lit(w) * x for w, x in zip(model[1:], seen)), F.lit(model[0]))
-    scored = docs.withColumn("__p", 1 / (1 + F.exp(-F.least(F.greatest(line, F.lit(-30.0)), F.lit(30.0)))))
+    line = sum((F.lit(w) * x for w, x in zip(model[1:], features())), F.lit(model[0]))
+    scored = with_counts(docs).withColumn("__p", 1 / (1 + F.exp(-F.least(F.greatest(line, F.lit(-30.0)), F.lit(30.0))))).drop(*COUNTS)
     scored = scored.withColumn("__host", F.col(host).cast("string")).withColumn("__path", F.col(path).cast("string"))
     sites, prior = _site_levels(scored.select("__host", "__path", "__p"))
     sites = sites.withColumnsRenamed({"__host": "__h", "__path": "__k"})
