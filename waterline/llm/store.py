@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder. There is no machine-local fallback."""
+    """A fresh path below the shared folder.
+
+    Where the setting is unset, a session whose tasks all run in its own process gets a folder of its own; a cluster has
+    none that all its machines see, so there the setting is required.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="run-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
