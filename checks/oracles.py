@@ -321,7 +321,7 @@ statuses AS (SELECT CASE WHEN no_summary THEN {_RUN} ELSE {time} END AS stat_tim
     coalesce(logical_index_bytes, 0) AS logical_index_bytes,
     coalesce(logical_total_bytes, 0) AS logical_total_bytes, mysql_version,
     CASE WHEN m1 IS NULL AND m2 IS NULL THEN 'ok' ELSE 'failed' END AS collect_status,
-    left(nullif(concat_ws('; ', m1, m2), ''), 255) AS error_msg FROM told)"""
+    nullif(concat_ws('; ', m1, m2), '') AS error_msg FROM told)"""
     )
 
 
@@ -813,11 +813,62 @@ oracle(
     ["obj"],
     f"SELECT {_TABLE}, total_bytes, {_RANK} AS rank_no FROM obj",
 )
+_SHOWN_ENV = "coalesce(nullif(a.env, ''), '-')"
+_PLACE = "CASE a.env WHEN 'MOS' THEN 1 WHEN 'Purple' THEN 2 WHEN 'RTM' THEN 3 WHEN 'MIB2' THEN 4 ELSE 0 END"
+_OBJECT = "o.schema_name, o.table_name, o.stat_time, o.table_rows"
+_BY_OBJECT = (
+    "o.instance_id NULLS FIRST, o.schema_name NULLS FIRST, o.table_name NULLS FIRST, "
+    "o.stat_time NULLS FIRST, o.table_rows NULLS FIRST"
+)
+
+oracle(
+    "o1_failed_order",
+    ["asset", "snap"],
+    f"""SELECT * EXCLUDE (place) FROM (SELECT DISTINCT a.instance_id, a.env, a.instance_name, s.stat_time,
+        CASE WHEN a.env IS NULL THEN NULL ELSE {_PLACE} END AS place
+    FROM asset a JOIN snap s USING (instance_id) WHERE s.collect_status = 'failed')
+ORDER BY stat_time DESC NULLS LAST, place NULLS FIRST, instance_name NULLS FIRST, instance_id LIMIT 100""",
+)
+oracle(
+    "o2_env_diff_order",
+    ["asset", "snap"],
+    f"""SELECT * FROM (SELECT a.instance_id, a.env, sum(s.logical_total_bytes)::BIGINT AS total,
+        (sum(s.logical_total_bytes) - sum(CASE WHEN s.collect_status = 'failed' THEN s.logical_total_bytes END))::BIGINT
+            AS diff
+    FROM asset a JOIN snap s USING (instance_id) GROUP BY a.instance_id, a.env)
+ORDER BY diff DESC NULLS LAST, {gb("total")} DESC NULLS LAST, env NULLS FIRST LIMIT 1000""",
+)
+oracle(
+    "o3_size_order",
+    ["asset", "snap"],
+    f"""SELECT a.instance_id, a.env, a.instance_name, s.stat_time, s.logical_total_bytes
+FROM asset a JOIN snap s USING (instance_id)
+ORDER BY {gb("s.logical_total_bytes")} DESC NULLS LAST, {_SHOWN_ENV}, a.instance_name NULLS FIRST,
+    s.stat_time NULLS FIRST, s.logical_total_bytes LIMIT 3000""",
+)
 oracle(
     "o4_top_objects",
-    ["obj"],
-    f"""SELECT * FROM obj ORDER BY total_bytes DESC, {_TABLE}, stat_time,
-    table_rows NULLS FIRST LIMIT 50""",
+    ["asset_obj", "obj"],
+    f"""SELECT o.instance_id, a.env, {_OBJECT}, o.total_bytes FROM asset_obj a JOIN obj o USING (instance_id)
+ORDER BY o.total_bytes DESC NULLS LAST, {_SHOWN_ENV}, {_BY_OBJECT} LIMIT 50""",
+)
+oracle(
+    "o5_abs_diff_order",
+    ["asset", "snap"],
+    f"""SELECT a.instance_id, a.env, a.instance_name, s.stat_time, s.logical_total_bytes AS last,
+    CASE WHEN s.collect_status = 'ok' THEN s.logical_data_bytes END AS prev
+FROM asset a JOIN snap s USING (instance_id)
+ORDER BY CASE WHEN s.collect_status = 'ok' THEN abs(s.logical_total_bytes - s.logical_data_bytes) ELSE 0 END
+    DESC NULLS LAST, {_SHOWN_ENV}, a.instance_name NULLS FIRST, s.stat_time NULLS FIRST, s.logical_total_bytes
+LIMIT 14800""",
+)
+oracle(
+    "o6_object_abs_diff_order",
+    ["asset_obj", "obj"],
+    f"""SELECT o.instance_id, a.env, {_OBJECT}, o.total_bytes, o.data_bytes
+FROM asset_obj a JOIN obj o USING (instance_id)
+ORDER BY CASE WHEN o.data_bytes IS NULL THEN 0 ELSE abs(o.total_bytes - o.data_bytes) END DESC NULLS LAST,
+    {_SHOWN_ENV}, {_BY_OBJECT} LIMIT 300""",
 )
 
 # Trends

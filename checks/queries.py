@@ -46,7 +46,15 @@ from waterline.operators.filters import (
     valid_stats,
     with_status,
 )
-from waterline.operators.ranking import rank_objects, top_k
+from waterline.operators.ranking import (
+    order_abs_diff,
+    order_by_size,
+    order_env_diff,
+    order_failed,
+    order_objects,
+    rank_objects,
+    top_k,
+)
 from waterline.operators.rollups import (
     document_storage_summary,
     instance_storage_summary,
@@ -586,14 +594,73 @@ _report(
     lambda o: _ranked(o).select("instance_id", "schema_name", "table_name", "total_bytes", "rank_no"),
     "obj",
 )
+# Orders of the reports. A limit makes the chosen rows depend on the order.
+
+_SHOWN = ["instance_id", "env", "instance_name", "stat_time"]
+_NAMED = ["schema_name", "table_name", "stat_time", "table_rows"]
+
+def _owned(assets, rows):
+    return rows.join(assets.select("instance_id", "env", "instance_name"), "instance_id")
+
+
+def _env_rows(a, s):
+    failed = F.sum(F.when(F.col("collect_status") == "failed", F.col("logical_total_bytes")))
+    total = F.sum("logical_total_bytes")
+    return _owned(a, s).groupBy("instance_id", "env").agg((total - failed).alias("diff"), total.alias("total"))
+
+
+_report(
+    "o1_failed_order",
+    lambda a, s: top_k(
+        _owned(a, s.where("collect_status = 'failed'")).select(*_SHOWN).distinct(), order_failed(), 100
+    ),
+    "asset",
+    "snap",
+)
+_report("o2_env_diff_order", lambda a, s: top_k(_env_rows(a, s), order_env_diff("diff", "total"), 1000), "asset", "snap")
+_report(
+    "o3_size_order",
+    lambda a, s: top_k(
+        _owned(a, s).select(*_SHOWN, "logical_total_bytes"),
+        order_by_size("logical_total_bytes", "instance_name", "stat_time", "logical_total_bytes"),
+        3000,
+    ),
+    "asset",
+    "snap",
+)
 _report(
     "o4_top_objects",
-    lambda o: top_k(
-        o,
-        [F.desc("total_bytes"), F.asc("instance_id"), F.asc("schema_name"), F.asc("table_name"),
-         F.asc("stat_time"), F.asc("table_rows")],
+    lambda a, o: top_k(
+        _owned(a, o).select("instance_id", "env", *_NAMED, "total_bytes"),
+        order_objects("total_bytes", "instance_id", *_NAMED),
         50,
     ),
+    "asset_obj",
+    "obj",
+)
+_report(
+    "o5_abs_diff_order",
+    lambda a, s: top_k(
+        # A previous value that is missing for some rows.
+        _owned(a, s).select(
+            *_SHOWN,
+            F.col("logical_total_bytes").alias("last"),
+            F.when(F.col("collect_status") == "ok", F.col("logical_data_bytes")).alias("prev"),
+        ),
+        order_abs_diff("last", "prev", "instance_name", "stat_time", "last"),
+        14_800,
+    ),
+    "asset",
+    "snap",
+)
+_report(
+    "o6_object_abs_diff_order",
+    lambda a, o: top_k(
+        _owned(a, o).select("instance_id", "env", *_NAMED, "total_bytes", "data_bytes"),
+        order_abs_diff("total_bytes", "data_bytes", "instance_id", *_NAMED),
+        300,
+    ),
+    "asset_obj",
     "obj",
 )
 

@@ -81,7 +81,7 @@ FROM {lineitem}""",
     # Runs of the suppliers, for the gate on the latest one.
     "snap_obj": """SELECT l_suppkey AS instance_id, l_shipdate AS stat_time,
     CASE WHEN l_linestatus = 'F' THEN 'ok' ELSE 'failed' END AS collect_status
-FROM {lineitem} WHERE l_linenumber = 1""",
+FROM {lineitem}""",
     # Catalog feed with system schemas, views and unknown values.
     "table_stats": """SELECT l_suppkey AS instance_id,
     CASE WHEN l_linenumber = 7 THEN 'sys'
@@ -190,25 +190,40 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
 }
 
+def _number_forms(document: str, fields: str, turn: str) -> str:
+    """The JSON text with the numbers of some fields written as doubles, exponents or wrapped 64-bit numbers."""
+    found = f"(?<=\"({fields})\":)(-?[0-9]+)"
+    wrapped = '{{"\\\\$numberLong":"$2"}}'
+    return f"""CASE {turn} % 4
+        WHEN 1 THEN regexp_replace({document}, '{found}', '$2.0')
+        WHEN 2 THEN regexp_replace({document}, '{found}', '{wrapped}')
+        WHEN 3 THEN regexp_replace({document}, '{found}', '$2e0')
+        ELSE {document} END"""
+
+
 # Statistics documents as collectors land them: JSON text, here one small document per line item.
 # A document lists a user database and a system one.
 DOCUMENTS = {
-    "db_documents": """SELECT instance_id, to_json(named_struct(
+    "db_documents": "SELECT instance_id, "
+    + _number_forms("json", "dataSize|storageSize", "(index_size div 1024)")
+    + """ AS document FROM (SELECT instance_id, index_size, to_json(named_struct(
     'ok', list_ok, 'version', '7.0', 'databases', array(
         named_struct('name', db_name, 'ok', ok, 'dataSize', data_size,
                      'indexSize', index_size, 'storageSize', storage_size),
         named_struct('name', 'local', 'ok', 1, 'dataSize', index_size,
-                     'indexSize', index_size, 'storageSize', index_size)))) AS document
-FROM {db_flat}""",
-    "coll_documents": """SELECT instance_id, to_json(named_struct(
+                     'indexSize', index_size, 'storageSize', index_size)))) AS json
+FROM {db_flat})""",
+    "coll_documents": "SELECT instance_id, "
+    + _number_forms("json", "count|size|totalIndexSize", "(total_index_size div 1073741824)")
+    + """ AS document FROM (SELECT instance_id, total_index_size, to_json(named_struct(
     'ok', list_ok, 'databases', array(
         named_struct('name', db_name, 'collections', array(
             named_struct('name', coll_name, 'ok', ok, 'count', doc_count, 'size', size,
                          'totalIndexSize', total_index_size, 'storageSize', storage_size),
             named_struct('name', 'system.profile', 'ok', 1, 'count', doc_count, 'size', size,
                          'totalIndexSize', total_index_size,
-                         'storageSize', storage_size)))))) AS document
-FROM {coll_flat}""",
+                         'storageSize', storage_size)))))) AS json
+FROM {coll_flat})""",
 }
 
 

@@ -370,7 +370,7 @@ def test_relational_status(spark):
             out.collect()]
     assert rows[0] == ("ok", 3, 1, None)
     assert rows[1] == ("failed", 3, 1, "top_tables_failed: boom")
-    assert rows[2][:3] == ("failed", 0, 9) and len(rows[2][3]) == 255
+    assert rows[2][:3] == ("failed", 0, 9) and rows[2][3].endswith("x" * 300)
     assert rows[2][3].startswith("summary_failed: no route; top_tables_failed: xxx")
     assert rows[3] == ("failed", 3, 9, None)  # a summary without a time, but no message
     assert rows[4] == ("failed", 0, 9, "summary_failed")

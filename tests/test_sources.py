@@ -5,6 +5,10 @@ import os
 from pyspark.sql import functions as F
 
 from tests.rows import GIB, assets, day, snaps, tables, values
+import pytest
+from waterline.operators.assets import validate_assets
+from waterline.operators.rollups import document_storage_summary
+from waterline.sources.feeds import read_coll_stats, read_db_stats
 from waterline.model import RELATIONAL_SUMMARY_LINE, TableNames
 from waterline.operators.ranking import rank_objects
 from waterline.operators.rollups import document_storage_summary, list_ok, run_summary
@@ -137,7 +141,36 @@ def test_asset_records(spark, tmp_path):
     )
     out = read_asset_records(spark, str(file), "mysql", "csv")
     assert values(out, "instance_name", "port", "login_path") == [("a", "3307", None), ("b", None, "lp")]
-    assert out.where("line_no IS NULL").count() == 0
+    accepted, rejected = validate_assets(out, "mysql")
+    assert values(accepted, "instance_name") == [("a",)]
+    assert values(rejected, "instance_name", "reject_reason") == [("b", "missing_line_no")]
+
+
+@pytest.mark.parametrize(
+    ("token", "number"),
+    [
+        ("1024", 1024),
+        ("1024.0", 1024),
+        ("2.5e9", 2_500_000_000),
+        ('{"$numberLong":"99"}', 99),
+        ('{"$numberDouble":"7.0"}', 7),
+        ("null", 0),
+        ('"much"', None),
+        ("true", None),
+        ("1e40", None),
+    ],
+)
+def test_number_forms_of_statistics(spark, token, number):
+    """None: the entry is not ok and counts for nothing."""
+    entry = '{"name":"%s","ok":1,"dataSize":%s,"indexSize":5,"storageSize":1}'
+    text = '{"ok":1,"version":"7.0","databases":[%s,%s]}' % (entry % ("a", token), entry % ("b", "10"))
+    stats = read_db_stats(spark.createDataFrame([(1, text)], "instance_id bigint, document string"))
+    row = document_storage_summary(stats).first()
+    want = (10, 5) if number is None else (number + 10, 10)
+    assert (row.logical_data_bytes, row.logical_index_bytes) == want
+    text = '{"ok":1,"databases":[{"name":"a","collections":[{"name":"c","ok":1,"count":%s}]}]}' % token
+    found = read_coll_stats(spark.createDataFrame([(1, text)], "instance_id bigint, document string")).first()
+    assert (found["ok"], found["count"]) == ((0.0, None) if number is None else (1.0, number or None))
 
 
 def test_append_keeps_what_is_there(spark):

@@ -18,8 +18,6 @@ DOCUMENT_SYSTEM_DBS = ("admin", "local", "config")
 SYSTEM_COLLECTION_PREFIX = "system."
 BIG_OBJECT_ROWS = 5_000_000
 BIG_OBJECT_BYTES = 50 * 1024**3
-RELATIONAL_ERROR_CHARS = 255
-DOCUMENT_ERROR_CHARS = 512
 RELATIONAL_DEFAULT_PORT = 3306
 
 # Day partition of the stored facts, derived from stat_time.
@@ -120,6 +118,8 @@ TABLE_STATS = _schema(
 )
 
 _number = T.DoubleType()
+# Sizes and counts arrive as integers, doubles or wrapped 64-bit numbers: a string keeps any of them.
+_token = T.StringType()
 
 DB_STATS_DOCUMENT = _schema(
     ("ok", _number, True),
@@ -130,9 +130,9 @@ DB_STATS_DOCUMENT = _schema(
             _schema(
                 ("name", _string, True),
                 ("ok", _number, True),
-                ("dataSize", _long, True),
-                ("indexSize", _long, True),
-                ("storageSize", _long, True),
+                ("dataSize", _token, True),
+                ("indexSize", _token, True),
+                ("storageSize", _token, True),
             )
         ),
         True,
@@ -152,10 +152,10 @@ COLL_STATS_DOCUMENT = _schema(
                         _schema(
                             ("name", _string, True),
                             ("ok", _number, True),
-                            ("count", _long, True),
-                            ("size", _long, True),
-                            ("totalIndexSize", _long, True),
-                            ("storageSize", _long, True),
+                            ("count", _token, True),
+                            ("size", _token, True),
+                            ("totalIndexSize", _token, True),
+                            ("storageSize", _token, True),
                         )
                     ),
                     True,

@@ -41,12 +41,14 @@ def _reject_reason(kind: str) -> Column:
         for name in ("host", "username", "password"):
             incomplete = incomplete | F.col(name).isNull()
         return (
-            F.when(incomplete, "missing_required")
+            F.when(F.col("line_no").isNull(), "missing_line_no")
+            .when(incomplete, "missing_required")
             .when(bad_env, "invalid_env")
             .when(F.col("port").isNull(), "invalid_port")
         )
     return (
-        F.when(F.col("type") != "mongo", "unexpected_type")
+        F.when(F.col("line_no").isNull(), "missing_line_no")
+        .when(F.col("type") != "mongo", "unexpected_type")
         .when(F.col("mongo_uri").isNull(), "missing_uri")
         .when(bad_env, "invalid_env")
         .when(is_blank(F.col("host")), "invalid_uri")

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from waterline.functions import blank_to_null
 from waterline.model import (
-    DOCUMENT_ERROR_CHARS,
-    RELATIONAL_ERROR_CHARS,
     STATUS_FAILED,
     STATUS_OK,
 )
@@ -56,7 +54,6 @@ def _finish(
     measures: Sequence[str],
     summary_failed: Column,
     error: Column,
-    error_chars: int,
 ) -> DataFrame:
     run_time = F.lit(run_ts).cast("timestamp_ntz")
     no_time = summary_failed | F.col("stat_time").isNull()
@@ -69,7 +66,7 @@ def _finish(
         F.when(no_time | error.isNotNull(), STATUS_FAILED)
         .otherwise(STATUS_OK)
         .alias("collect_status"),
-        F.substring(error, 1, error_chars).alias("error_msg"),
+        error.alias("error_msg"),
     )
 
 
@@ -103,9 +100,7 @@ def _relational_status(
             F.when(F.col("_objects_error").isNotNull(), told(TABLES_FAILED, "_objects_error")),
         )
     )
-    rows = _finish(
-        joined, run_ts, _RELATIONAL_MEASURES, summary_failed, error, RELATIONAL_ERROR_CHARS
-    )
+    rows = _finish(joined, run_ts, _RELATIONAL_MEASURES, summary_failed, error)
     version = F.nullif("version", F.lit(""))
     return rows.withColumn("version", version).withColumnRenamed("version", "mysql_version")
 
@@ -129,6 +124,6 @@ def _document_status(
             F.when(~no_access & F.col("_objects_error").isNotNull(), COLLECTIONS_FAILED),
         )
     )
-    rows = _finish(joined, run_ts, _DOCUMENT_MEASURES, summary_failed, error, DOCUMENT_ERROR_CHARS)
+    rows = _finish(joined, run_ts, _DOCUMENT_MEASURES, summary_failed, error)
     version = F.coalesce("version", F.lit(""))
     return rows.withColumn("version", version).withColumnRenamed("version", "mongo_version")

@@ -28,7 +28,7 @@ def export_tsv(report: DataFrame, directory: str, name: str, single_file: bool =
     path = f"{directory.rstrip('/')}/{name}"
     rows = report.select(*[_plain(f) for f in report.schema.fields])
     if single_file:
-        rows = rows.coalesce(1)
+        rows = rows.repartition(1)
     (
         rows.write.mode("overwrite")
         .option("sep", "\t")
