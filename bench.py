@@ -18,26 +18,26 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.queries import QUERIES  # noqa: E402
+from waterline.session import configure  # noqa: E402
 
-# Reports, collection and trends, and the operators that carry them.
+# Reports, collection and trends, the operators that carry them, sinks and document feeds.
 HEADLINE = [
     name
     for name in QUERIES
     if name[0] in "rcd"
     or name in ("j1_latest_ties", "j3_prev_ok", "j6_object_prev", "j8_aligned_last_vs_prev")
     or name in ("w1_rank_objects", "a1_instance_storage", "k4_asset_upsert_fill")
+    or name[:3] in ("k1_", "k2_", "k3_", "s3_")
 ]
 
 
 def session(cpus: str) -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        configure(SparkSession.builder.master(f"local[{cpus}]"), shuffle_partitions=int(cpus))
         .appName("bench")
-        .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -911,12 +911,14 @@ FROM grown""",
 oracle(
     "d4_object_growth_topn",
     ["obj"],
-    f""", d AS (SELECT instance_id, CAST(stat_time AS DATE) AS day,
-    arg_max(total_bytes, (stat_time, total_bytes)) AS size FROM obj GROUP BY ALL)
-SELECT f.instance_id, f.size AS from_bytes, t.size AS to_bytes, t.size - f.size AS growth_bytes
-FROM d f JOIN d t ON f.instance_id = t.instance_id
+    f""", d AS (SELECT instance_id, schema_name, table_name, CAST(stat_time AS DATE) AS day,
+    arg_max(total_bytes, (stat_time, total_bytes)) AS size FROM
+    (SELECT * REPLACE (date_trunc('month', stat_time) AS stat_time) FROM obj) GROUP BY ALL)
+SELECT f.instance_id, f.schema_name, f.table_name, f.size AS from_bytes, t.size AS to_bytes,
+    t.size - f.size AS growth_bytes
+FROM d f JOIN d t USING (instance_id, schema_name, table_name)
 WHERE f.day = DATE '{GROWTH_FROM}' AND t.day = DATE '{GROWTH_TO}'
-ORDER BY growth_bytes DESC, f.instance_id LIMIT 20""",
+ORDER BY growth_bytes DESC, f.instance_id, f.schema_name, f.table_name LIMIT 20""",
 )
 oracle(
     "d5_schema_top5",

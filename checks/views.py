@@ -194,7 +194,7 @@ def _number_forms(document: str, fields: str, turn: str) -> str:
     """The JSON text with the numbers of some fields written as doubles, exponents or wrapped 64-bit numbers."""
     found = f"(?<=\"({fields})\":)(-?[0-9]+)"
     wrapped = '{{"\\\\$numberLong":"$2"}}'
-    return f"""CASE {turn} % 4
+    return f"""CASE {turn} % 16
         WHEN 1 THEN regexp_replace({document}, '{found}', '$2.0')
         WHEN 2 THEN regexp_replace({document}, '{found}', '{wrapped}')
         WHEN 3 THEN regexp_replace({document}, '{found}', '$2e0')

@@ -29,19 +29,33 @@ def whole_number(token: Column) -> Column:
     A fraction is cut off. NULL where the text is no number or no 64-bit one.
     """
     wrapped = F.coalesce(*[F.get_json_object(token, f"$['{w}']") for w in _WRAPPERS])
-    text = F.when(token.startswith("{"), wrapped).otherwise(token)
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    inner = F.when(token.startswith("{"), wrapped)
+    return F.coalesce(
+        token.try_cast("bigint"),
+        token.try_cast("double").try_cast("bigint"),
+        inner.try_cast("bigint"),
+        inner.try_cast("double").try_cast("bigint"),
+    )
 
 
-def _statistics(entry: str, fields: dict[str, str]) -> list[Column]:
-    """The `ok` and the numbers of a statistics entry. One that holds something else than numbers is not ok."""
-    tokens = {name: F.col(f"{entry}.{field}") for name, field in fields.items()}
-    numbers = {name: whole_number(t) for name, t in tokens.items()}
+def _with_numbers(entries: DataFrame, entry: str, fields: dict[str, str]) -> DataFrame:
+    """Statistics entries with `ok` and their numbers. One that holds something else than numbers is not ok."""
+    numbers = {name: whole_number(F.col(f"{entry}.{field}")) for name, field in fields.items()}
     bad = F.lit(False)
-    for name, token in tokens.items():
-        bad = bad | (token.isNotNull() & numbers[name].isNull())
+    for name, field in fields.items():
+        bad = bad | (F.col(f"{entry}.{field}").isNotNull() & F.col(name).isNull())
     ok = F.when(bad, F.lit(0.0)).otherwise(F.col(f"{entry}.ok"))
-    return [ok.alias("ok"), *[n.alias(name) for name, n in numbers.items()]]
+    # Two steps, so that each text is read once.
+    return entries.withColumns(numbers).withColumn("ok", ok)
+
+
+_DB_NUMBERS = {"data_size": "dataSize", "index_size": "indexSize", "storage_size": "storageSize"}
+_COLL_NUMBERS = {
+    "count": "count",
+    "size": "size",
+    "total_index_size": "totalIndexSize",
+    "storage_size": "storageSize",
+}
 
 
 def _parsed(documents: DataFrame, document: str, schema: T.StructType) -> DataFrame:
@@ -59,24 +73,14 @@ def read_db_stats(documents: DataFrame, document: str = "document") -> DataFrame
 
     A document without databases still gives one row, so that its instance is known.
     """
-    return (
-        _parsed(documents, document, DB_STATS_DOCUMENT)
-        .select(
-            "instance_id",
-            F.col("ok").alias("list_ok"),
-            "version",
-            F.explode_outer("databases").alias("s"),
-        )
-        .select(
-            "instance_id",
-            "list_ok",
-            "version",
-            F.col("s.name").alias("db_name"),
-            *_statistics(
-                "s",
-                {"data_size": "dataSize", "index_size": "indexSize", "storage_size": "storageSize"},
-            ),
-        )
+    entries = _parsed(documents, document, DB_STATS_DOCUMENT).select(
+        "instance_id",
+        F.col("ok").alias("list_ok"),
+        "version",
+        F.explode_outer("databases").alias("s"),
+    )
+    return _with_numbers(entries, "s", _DB_NUMBERS).select(
+        "instance_id", "list_ok", "version", F.col("s.name").alias("db_name"), "ok", *_DB_NUMBERS
     )
 
 
@@ -85,25 +89,14 @@ def read_coll_stats(documents: DataFrame, document: str = "document") -> DataFra
 
     Documents whose database list was not readable give no rows.
     """
-    return (
+    entries = (
         _parsed(documents, document, COLL_STATS_DOCUMENT)
         .where(F.col("ok") == 1)
         .select("instance_id", F.explode("databases").alias("d"))
         .select("instance_id", F.col("d.name").alias("db_name"), F.explode("d.collections").alias("c"))
-        .select(
-            "instance_id",
-            "db_name",
-            F.col("c.name").alias("coll_name"),
-            *_statistics(
-                "c",
-                {
-                    "count": "count",
-                    "size": "size",
-                    "total_index_size": "totalIndexSize",
-                    "storage_size": "storageSize",
-                },
-            ),
-        )
+    )
+    return _with_numbers(entries, "c", _COLL_NUMBERS).select(
+        "instance_id", "db_name", F.col("c.name").alias("coll_name"), "ok", *_COLL_NUMBERS
     )
 
 
