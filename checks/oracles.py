@@ -6,7 +6,7 @@ whole-partition windows and filtered aggregates instead.
 
 from __future__ import annotations
 
-from checks.queries import GROWTH_FROM, GROWTH_TO, MIN_BYTES, MIN_ROWS, RUN_TS
+from checks.queries import GROWTH_FROM, GROWTH_TO, MIN_BYTES, MIN_ROWS, RUN_TS, RUNS
 from checks.views import with_views
 
 ORACLES: dict[str, str] = {}
@@ -434,16 +434,27 @@ oracle(
     AND login_path IS NOT NULL""",
 )
 _MONTH = "date_trunc('month', stat_time)::TIMESTAMP"
+_RUN_RANK = """CAST(row_number() OVER (PARTITION BY instance_id, stat_time ORDER BY total_bytes DESC,
+    schema_name, table_name, data_bytes, table_rows NULLS FIRST) AS INTEGER)"""
+_RANKED_FACT = f"""stat_time, instance_id, schema_name, table_name, 'InnoDB' AS engine, table_rows,
+    data_bytes, index_bytes, total_bytes, {_RUN_RANK} AS rank_no, CAST(stat_time AS DATE) AS stat_date"""
 _MONTHLY = f", monthly AS (SELECT * REPLACE ({_MONTH} AS stat_time) FROM {{}})"
 _MYSQL_FACT = """stat_time, instance_id, logical_data_bytes, logical_index_bytes,
     logical_total_bytes, mysql_version, collect_status, error_msg,
     CAST(stat_time AS DATE) AS stat_date"""
+_RUNS = ", ".join(f"(TIMESTAMP '{t}')" for t in RUNS)
+_RUN_ROWS = (
+    _relational_status("asset_obj", _RUN)
+    + f""", facts AS (SELECT s.* REPLACE (r.stat_time AS stat_time)
+    FROM statuses s CROSS JOIN (VALUES {_RUNS}) r(stat_time))"""
+)
+_RUN_VIEWS = ["asset_obj", "table_stats", "errors"]
 oracle(
     "s5_snapshot_scan_dates",
-    ["snap"],
-    _MONTHLY.format("snap")
-    + f""" SELECT {_MYSQL_FACT} FROM monthly
-WHERE stat_time >= TIMESTAMP '1996-01-01' AND stat_time < TIMESTAMP '1998-01-01'""",
+    _RUN_VIEWS,
+    _RUN_ROWS
+    + f""" SELECT {_MYSQL_FACT} FROM facts
+WHERE CAST(stat_time AS DATE) BETWEEN DATE '{RUNS[1][:10]}' AND DATE '{RUNS[2][:10]}'""",
 )
 oracle(
     "s6_tsv_import",
@@ -470,23 +481,23 @@ oracle(
     + " SELECT * FROM statuses",
 )
 oracle("s8_asset_records", ["records"], "SELECT * FROM records")
-oracle(
-    "k1_snapshot_append_roundtrip",
-    ["snap"],
-    _MONTHLY.format("snap")
-    + """ SELECT stat_time, instance_id, logical_data_bytes, logical_index_bytes,
-    logical_total_bytes, physical_total_bytes, mongo_version, collect_status, error_msg,
-    CAST(stat_time AS DATE) AS stat_date FROM monthly""",
-)
+oracle("k1_snapshot_append_roundtrip", _RUN_VIEWS, _RUN_ROWS + f" SELECT {_MYSQL_FACT} FROM facts")
 oracle(
     "k2_objects_append_roundtrip",
-    ["obj", "snap_obj"],
-    newest("snap_obj", "instance_id", "runs")
-    + _MONTHLY.format("obj")
-    + """ SELECT stat_time, instance_id, schema_name, table_name, 'InnoDB' AS engine, table_rows,
-    data_bytes, index_bytes, total_bytes, CAST(stat_time AS DATE) AS stat_date
-FROM monthly SEMI JOIN (SELECT instance_id FROM runs WHERE collect_status = 'ok') USING (instance_id)""",
+    _RUN_VIEWS,
+    _relational_status("asset_obj", _RUN)
+    + f""", big AS (SELECT *, coalesce(data_length, 0) + coalesce(index_length, 0) AS total_bytes
+    FROM table_stats WHERE table_type = 'BASE TABLE' AND table_schema NOT IN {_SYSTEM5})
+SELECT r.stat_time, instance_id, table_schema AS schema_name, table_name, engine,
+    table_rows, coalesce(data_length, 0) AS data_bytes, coalesce(index_length, 0) AS index_bytes,
+    total_bytes, CAST(row_number() OVER (PARTITION BY instance_id, r.stat_time
+        ORDER BY total_bytes DESC, table_schema, table_name) AS INTEGER) AS rank_no,
+    CAST(r.stat_time AS DATE) AS stat_date
+FROM big SEMI JOIN (SELECT instance_id FROM statuses WHERE collect_status = 'ok') USING (instance_id)
+CROSS JOIN (VALUES {_RUNS}) r(stat_time)
+WHERE table_rows > {MIN_ROWS} OR total_bytes > {MIN_BYTES}""",
 )
+oracle("k6_tables_roundtrip", ["obj"], _MONTHLY.format("obj") + f" SELECT {_RANKED_FACT} FROM monthly")
 oracle("k3_tsv_export_roundtrip", ["asset", "snap"], _instance_pairs(_R3_SIZES, _MYSQL))
 
 _FILLED = """, filled AS (SELECT line_no, 'mysql' AS type, instance_name, alias_name,
@@ -813,6 +824,11 @@ oracle(
     ["obj"],
     f"SELECT {_TABLE}, total_bytes, {_RANK} AS rank_no FROM obj",
 )
+oracle(
+    "w1_rank_runs",
+    ["obj"],
+    _MONTHLY.format("obj") + f" SELECT {_TABLE}, stat_time, total_bytes, {_RUN_RANK} AS rank_no FROM monthly",
+)
 _SHOWN_ENV = "coalesce(nullif(a.env, ''), '-')"
 _PLACE = "CASE a.env WHEN 'MOS' THEN 1 WHEN 'Purple' THEN 2 WHEN 'RTM' THEN 3 WHEN 'MIB2' THEN 4 ELSE 0 END"
 _OBJECT = "o.schema_name, o.table_name, o.stat_time, o.table_rows"
@@ -963,7 +979,8 @@ QUALIFY rank_no <= 20 OR total_bytes >= {MIN_BYTES}""",
 oracle(
     "d9_rank_delta",
     ["obj"],
-    f", ranked AS (SELECT *, {_RANK} AS rank_no FROM obj)"
+    _MONTHLY.format("obj")
+    + f", ranked AS MATERIALIZED (SELECT *, {_RUN_RANK} AS rank_no FROM monthly)"
     + pairs("ranked", _TABLE, "s", False)
     + f""" SELECT {", ".join("s." + k for k in _TABLE.split(", "))}, {_TIMES},
     s.c.rank_no AS last_rank_no, s.p.rank_no AS prev_rank_no,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from waterline.model import (
     OBJECT_SYSTEM_SCHEMAS,
     RELATIONAL_OBJECT_LINE,
     SUMMARY_SYSTEM_SCHEMAS,
+    TableNames,
 )
 from waterline.operators.assets import (
     fill_asset_defaults,
@@ -76,7 +78,14 @@ from waterline.operators.snapshots import (
 )
 from waterline.operators.status import derive_status
 from waterline.plans import collect, reports, trends
-from waterline.sources.facts import append_objects, append_snapshot, read_snapshots
+from waterline.sources.assets import read_assets, store_assets
+from waterline.sources.facts import (
+    append_objects,
+    append_snapshot,
+    append_snapshot_table,
+    ensure_tables,
+    read_snapshots,
+)
 from waterline.sources.feeds import (
     pick_summary_line,
     read_asset_records,
@@ -91,6 +100,7 @@ from waterline.sources import scratch
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TS = "2000-01-01 00:00:00"
+RUNS = ("1999-12-31 09:00:00", RUN_TS, "2000-01-02 09:00:00", "2000-01-02 21:00:00", "2000-01-08 09:00:00")
 # Thresholds at which both sides of the big-object test hold rows at every scale.
 MIN_ROWS = 500_000
 MIN_BYTES = 30 * 1024**3
@@ -203,16 +213,30 @@ _report("s4_active_assets", lambda a: active_assets(a, "mysql", "login_path"), "
 
 
 def _monthly(snapshots: DataFrame) -> DataFrame:
-    """The same rows as monthly runs: one stored partition per month instead of per day."""
+    """The same rows as monthly runs, so that an instance has many tables in each and they recur."""
     month = F.date_trunc("month", "stat_time").cast("timestamp_ntz")
     return snapshots.withColumn("stat_time", month)
 
 
+def _ranked_runs(objects: DataFrame) -> DataFrame:
+    """Tables of each run with their rank in it. Names recur within a day, so sizes break ties."""
+    names = ("schema_name", "table_name", "data_bytes", "table_rows")
+    return rank_objects(objects, names=names).withColumn("engine", F.lit("InnoDB"))
+
+
+def _stored_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Instance snapshots of several collection runs, each on a day of its own."""
+    path = scratch_path(spark, "instances")
+    inputs = [view(spark, sf_dir, v) for v in ("asset_obj", "table_stats", "errors")]
+    for run_ts in RUNS:
+        append_snapshot(collect.collect_instances(*inputs, run_ts), "mysql_instance", path)
+    return path
+
+
 @query("s5_snapshot_scan_dates")
 def _(spark, sf_dir):
-    path = scratch_path(spark, "snapshots")
-    append_snapshot(_monthly(view(spark, sf_dir, "snap")), "mysql_instance", path)
-    return read_snapshots(spark, "mysql_instance", path, "1996-01-01", "1997-12-31")
+    first, last = RUNS[1][:10], RUNS[2][:10]
+    return read_snapshots(spark, "mysql_instance", _stored_runs(spark, sf_dir), first, last)
 
 
 @query("s6_tsv_import")
@@ -247,21 +271,28 @@ def _(spark, sf_dir):
 
 @query("k1_snapshot_append_roundtrip")
 def _(spark, sf_dir):
-    path = scratch_path(spark, "instances")
-    snapshots = _monthly(view(spark, sf_dir, "snap"))
-    append_snapshot(with_status(snapshots, "ok"), "mongo_instance", path)
-    append_snapshot(with_status(snapshots, "failed"), "mongo_instance", path)
-    return read_snapshots(spark, "mongo_instance", path)
+    return read_snapshots(spark, "mysql_instance", _stored_runs(spark, sf_dir))
 
 
 @query("k2_objects_append_roundtrip")
 def _(spark, sf_dir):
     path = scratch_path(spark, "objects")
-    objects = _monthly(view(spark, sf_dir, "obj")).withColumn("engine", F.lit("InnoDB"))
-    objects = rank_objects(objects)
-    statuses = latest(view(spark, sf_dir, "snap_obj"), ["instance_id"])
-    append_objects(objects, statuses, "mysql_object", path)
-    return read_snapshots(spark, "mysql_object", path).drop("rank_no")
+    assets, feed, errors = [view(spark, sf_dir, v) for v in ("asset_obj", "table_stats", "errors")]
+    for run_ts in RUNS:
+        run = collect.collect_instances(assets, feed, errors, run_ts)
+        tables = collect.collect_tables(feed, run, run_ts, MIN_ROWS, MIN_BYTES)
+        append_objects(tables, run, "mysql_object", path)
+    return read_snapshots(spark, "mysql_object", path)
+
+
+@query("k6_tables_roundtrip")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "tables")
+    names = TableNames(database=f"capacity_{uuid.uuid4().hex}")
+    ensure_tables(spark, names, path)
+    append_snapshot_table(_ranked_runs(_monthly(view(spark, sf_dir, "obj"))), "mysql_object", names)
+    ensure_tables(spark, names, path)
+    return spark.table(names.of("mysql_object"))
 
 
 @query("k3_tsv_export_roundtrip")
@@ -272,12 +303,15 @@ def _(spark, sf_dir):
     return written.option("nullValue", "NULL").schema(report.schema).csv(path)
 
 
-_report(
-    "k4_asset_upsert_fill",
-    lambda a, r: load_assets(_stored_assets(a), r, "mysql", RUN_TS)[0].drop("secret_ref"),
-    "asset",
-    "records",
-)
+@query("k4_asset_upsert_fill")
+def _(spark, sf_dir):
+    path = _asset_table(spark, sf_dir)
+    records = view(spark, sf_dir, "records")
+    merged, _ = load_assets(read_assets(spark, path), records, "mysql", RUN_TS)
+    store_assets(merged, path)
+    return read_assets(spark, path).drop("secret_ref")
+
+
 _report(
     "k4_asset_upsert_fill_on_insert",
     lambda a, r: upsert_assets_fill(
@@ -290,9 +324,11 @@ _report(
 
 @query("k5_asset_upsert_overwrite")
 def _(spark, sf_dir):
-    assets = _stored_assets(view(spark, sf_dir, "asset"))
+    path = _asset_table(spark, sf_dir)
     records = view(spark, sf_dir, "doc_records")
-    merged, _ = load_assets(assets, records, "mongodb", RUN_TS, KEY_HEX, IV_HEX)
+    merged, _ = load_assets(read_assets(spark, path), records, "mongodb", RUN_TS, KEY_HEX, IV_HEX)
+    store_assets(merged, path)
+    merged = read_assets(spark, path)
     opened = F.when(
         F.col("auth_mode") == "mongo_uri_aes", open_uri(F.col("login_path"), KEY_HEX, IV_HEX)
     )
@@ -300,6 +336,12 @@ def _(spark, sf_dir):
     return merged.withColumn("login_path", F.coalesce(opened, "login_path")).drop("secret_ref")
 
 
+def _asset_table(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "assets")
+    store_assets(_stored_assets(view(spark, sf_dir, "asset")), path)
+    return path
+
+
 def _stored_assets(assets: DataFrame) -> DataFrame:
     time = F.lit(RUN_TS).cast("timestamp_ntz")
     return assets.withColumns(
@@ -603,6 +645,14 @@ _report(
     lambda o: _ranked(o).select("instance_id", "schema_name", "table_name", "total_bytes", "rank_no"),
     "obj",
 )
+_report(
+    "w1_rank_runs",
+    lambda o: _ranked_runs(_monthly(o)).select(
+        "instance_id", "stat_time", "schema_name", "table_name", "total_bytes", "rank_no"
+    ),
+    "obj",
+)
+
 # Orders of the reports. A limit makes the chosen rows depend on the order.
 
 _SHOWN = ["instance_id", "env", "instance_name", "stat_time"]
@@ -712,4 +762,10 @@ _report(
     ).select("instance_id", "schema_name", "table_name", "total_bytes", "rank_no"),
     "obj",
 )
-_report("d9_rank_delta", lambda o: trends.rank_delta(_ranked(o)), "obj")
+
+
+@query("d9_rank_delta")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "ranked")
+    append_snapshot(_ranked_runs(_monthly(view(spark, sf_dir, "obj"))), "mysql_object", path)
+    return trends.rank_delta(read_snapshots(spark, "mysql_object", path))

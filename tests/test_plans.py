@@ -87,6 +87,16 @@ def test_many_assets_are_not_broadcast(spark, sf_dir, monkeypatch, shuffled_join
     assert QUERIES["r3_instance_diff"](spark, sf_dir).count() > 0
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n[0] == "r"] + ["d2_growth_14d"])
+def test_reports_of_few_and_many_assets_agree(spark, sf_dir, monkeypatch, shuffled_joins, name):
+    few = QUERIES[name](spark, sf_dir)
+    want = sorted(map(str, few.collect()))
+    monkeypatch.setattr("waterline.operators.size.MAX_BROADCAST_ROWS", 10)
+    many = QUERIES[name](spark, sf_dir)
+    assert many.schema == few.schema
+    assert sorted(map(str, many.collect())) == want
+
+
 def test_facts_are_hashed_on_key_and_time(spark, sf_dir, shuffled_joins):
     plan = planned(latest(view(spark, sf_dir, "snap"), ["instance_id"]))
     fact_side = [
@@ -145,3 +155,15 @@ def test_rows_are_fetched_from_the_wanted_days_only(spark, stored):
     same = last_vs_prev(plain, ["instance_id"], ["logical_total_bytes"], ok=ok)
     assert sorted(map(str, df.collect())) == sorted(map(str, same.collect()))
     assert latest(stored, ["instance_id"]).count() == latest(plain, ["instance_id"]).count()
+
+
+def test_many_entities_read_the_wanted_days_only(spark, stored, shuffled_joins):
+    """Uncounted entities: only the distinct days of the wanted times are broadcast."""
+    plain = stored.drop(DATE_COLUMN)
+    for found in (latest, lambda d, k: last_vs_prev(d, k, ["logical_total_bytes"])):
+        df = found(stored, ["instance_id"])
+        plan = planned(df)
+        assert "dynamicpruning" in plan
+        assert "BroadcastHashJoin [stat_date" in plan and "BroadcastHashJoin [instance_id" not in plan
+        same = found(plain, ["instance_id"])
+        assert sorted(map(str, df.select(same.columns).collect())) == sorted(map(str, same.collect()))

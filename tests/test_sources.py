@@ -9,10 +9,11 @@ import pytest
 from waterline.operators.assets import validate_assets
 from waterline.operators.rollups import document_storage_summary
 from waterline.sources.feeds import read_coll_stats, read_db_stats
-from waterline.model import RELATIONAL_SUMMARY_LINE, TableNames
+from waterline.model import ASSETS, RELATIONAL_SUMMARY_LINE, TableNames
 from waterline.operators.ranking import rank_objects
 from waterline.operators.rollups import document_storage_summary, list_ok, run_summary
 from waterline.plans import collect, reports
+from waterline.sources.assets import read_assets, store_assets
 from waterline.sources.facts import (
     append_objects,
     append_snapshot,
@@ -206,6 +207,23 @@ def test_tables_are_created_once(spark, tmp_path):
     spark.sql("DROP DATABASE waterline_test CASCADE")
 
 
+def test_assets_are_stored_in_versions(spark):
+    path = scratch_path(spark, "assets")
+    assert read_assets(spark, path).count() == 0
+    first = assets(spark, (1, "MOS"), (2, "RTM")).withColumns(
+        {f.name: F.lit(None) for f in ASSETS.fields if f.name in ("username", "secret_ref", "created_at", "updated_at")}
+    )
+    assert store_assets(first, path) == 1
+    before = read_assets(spark, path)
+    # The next version is made from the one it replaces.
+    assert store_assets(before.withColumn("env", F.lit("MIB2")), path) == 2
+    assert values(read_assets(spark, path), "instance_id", "env") == [(1, "MIB2"), (2, "MIB2")]
+    assert values(before, "instance_id", "env") == [(1, "MOS"), (2, "RTM")]
+    # Files that were never published count for nothing.
+    before.limit(1).write.parquet(f"{path}/version-00000009-lost")
+    assert read_assets(spark, path).count() == 2
+
+
 def test_cells(spark):
     report = spark.createDataFrame(
         [(1, "+1.00", "ok"), (2, "-", "failed"), (3, "0", None), (4, "x", "")],

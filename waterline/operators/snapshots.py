@@ -9,7 +9,9 @@ splits.
 
 Where the caller has counted the entities (`few=True`, see operators.size) the time table is
 broadcast: it has one row per entity and time looked for. Then no fact is shuffled to be filtered,
-and stored facts are read from the day partitions that hold a wanted time only.
+and stored facts are read from the day partitions that hold a wanted time only. Where the entities
+are too many for that, the distinct days of the wanted times still are few (one row per stored day),
+so they are broadcast instead: the rest of the history is neither read at full width nor shuffled.
 
 Rows that share an entity's latest time are all kept, and pair with all rows at its previous time.
 """
@@ -25,6 +27,8 @@ from waterline.functions import is_ok
 from waterline.model import DATE_COLUMN
 from waterline.operators.size import broadcast_if
 
+_FIRST_DAY = "0001-01-01"
+
 
 def _at_times(facts: DataFrame, times: DataFrame, ts: str) -> tuple[DataFrame, list[str]]:
     """Times and join key parts that match facts; stored facts add their day.
@@ -36,11 +40,21 @@ def _at_times(facts: DataFrame, times: DataFrame, ts: str) -> tuple[DataFrame, l
     return times, [ts]
 
 
+def _of_days(facts: DataFrame, times: DataFrame, few: bool) -> DataFrame:
+    """Stored facts of the days that `times` (from _at_times) holds; others as they are."""
+    if few or DATE_COLUMN not in facts.columns:
+        return facts
+    # Spark prunes partitions only by a side that has a comparison, which it takes to be selective.
+    days = times.select(DATE_COLUMN).distinct().where(F.col(DATE_COLUMN) >= F.lit(_FIRST_DAY).cast("date"))
+    return facts.join(F.broadcast(days), DATE_COLUMN, "left_semi")
+
+
 def _rows_at(
     facts: DataFrame, times: DataFrame, keys: Sequence[str], ts: str, few: bool
 ) -> DataFrame:
     """Fact rows whose (key, time) is in `times`."""
     times, time_key = _at_times(facts, times, ts)
+    facts = _of_days(facts, times, few)
     return facts.join(broadcast_if(few, times), [*keys, *time_key], "left_semi")
 
 
@@ -104,6 +118,9 @@ def last_vs_prev(
     there is no previous snapshot. With `ok`, an entity counts only if its newest time has a row
     that satisfies it, and the previous time is the newest older one with such a row; every row
     at that previous time takes part, whether it satisfies `ok` or not.
+
+    The input is read several times (times, last rows, previous rows): give it stored facts, not a
+    frame that is costly to compute.
     """
     usable = df if ok is None else df.where(ok)
     times = recent_times(usable, keys, ts)
@@ -161,7 +178,8 @@ def aligned_last_vs_prev(
     object_key = ["instance_id", *object_keys]
 
     last_runs, time_key = _at_times(objects, runs.withColumn(ts, F.col(last_ts)), ts)
-    last = objects.join(broadcast_if(few, last_runs), ["instance_id", *time_key]).select(
+    objects_of_days = _of_days(objects, last_runs, few)
+    last = objects_of_days.join(broadcast_if(few, last_runs), ["instance_id", *time_key]).select(
         *object_key, last_ts, prev_ts, "_pairs", *[F.col(m).alias(f"last_{m}") for m in measures]
     )
     # Only the previous runs are paired, not the whole object history.
