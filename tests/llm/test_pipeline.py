@@ -1,10 +1,14 @@
 """The corpus pipeline, stage by stage, and the queries that have SQL."""
 
+import random
+import re
+
 import duckdb
+import numpy as np
 
 import __spark_entry__
 import corpus_pipeline
-from waterline.llm import langid, stages
+from waterline.llm import langid, nearcopies, stages
 from waterline.llm.queries import ORACLES, QUERIES
 
 
@@ -40,6 +44,46 @@ def test_run_is_registered_and_packs(spark, sf_dir):
     assert rows.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
 
 
+def test_near_copies_are_those_of_all_pairs(spark, sf_dir):
+    """sf0.01 has pairs at 0.80 to 0.84 that are more than 4 bits of a SimHash apart."""
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    sets = {}
+    for r in docs.collect():
+        words = re.findall(r"[^ \t-\r]+", r["text"] or "")
+        words = ["".join(c.lower() if c.isascii() else c for c in w) for w in words]
+        sets[r["doc_id"]] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    ids = sorted(sets)
+    kept, seen = set(), set()
+    for first in ids:
+        if first in seen:
+            continue
+        kept.add(first)
+        front = [first]
+        seen.add(first)
+        while front:
+            a = sets[front.pop()]
+            near = [i for i in ids if i not in seen and len(a & sets[i]) >= 0.8 * len(a | sets[i])]
+            seen.update(near)
+            front += near
+    stage = dict(corpus_pipeline.STAGES)["near-duplicates"]
+    found = stage(spark, docs, sf_dir)
+    assert found.columns == docs.columns
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted(kept)
+
+
+def test_near_copies_of_planted_similarity():
+    """Pairs at every similarity from 0.8 on share a band, and only those at the threshold link."""
+    rng = random.Random(8)
+    for n in (40, 400):
+        for changed in range(0, n // 9 + 1, 3):
+            a = [rng.getrandbits(64) for _ in range(n)]
+            b = a[: n - changed] + [rng.getrandbits(64) for _ in range(changed)]
+            one, two = (np.unique(np.array(x, "u8")) for x in (a, b))
+            assert (nearcopies.band_keys(one) == nearcopies.band_keys(two)).any()
+            assert len(list(nearcopies.spanning([one, two]))) == ((n - changed) / (n + changed) >= 0.8)
+    assert list(nearcopies.spanning([nearcopies.shingles(x) for x in (None, " \n", "one", "ONE ")])) == [(0, 1), (2, 3)]
+
+
 def test_queries_agree_with_sql(spark, sf_dir):
     with duckdb.connect() as db:
         for table in ("documents", "pages"):
