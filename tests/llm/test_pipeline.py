@@ -44,6 +44,23 @@ def test_run_is_registered_and_packs(spark, sf_dir):
     assert rows.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
 
 
+def test_language_of_many_letters_stays(spark, sf_dir):
+    """A language of 1,500 letters needs more than log2(26) bits a letter; random letters of it still go."""
+    rng = random.Random(6)
+    letters = [chr(0x4E00 + 7 * i) for i in range(1_500)]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 2))) for _ in range(2_500)]
+    often = [1 / (i + 3) for i in range(len(words))]
+    texts = ["".join(rng.choices(words, often, k=500)) for _ in range(60)]
+    texts += ["".join(rng.choices(letters, k=700)) for _ in range(5)]
+    rows = [(10_000 + i, x, "zh" if i < 60 else None, "s", len(x)) for i, x in enumerate(texts)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60")
+    docs = docs.unionByName(spark.createDataFrame(rows, docs.schema)).coalesce(1)
+    bits = [r["bits"] for r in langid.identify(docs).where("lang = 'zh' and held_out").collect()]
+    assert bits and min(bits) > 4.71
+    kept = {r["doc_id"] for r in stages.language(spark, docs, sf_dir).collect()}
+    assert kept >= set(range(10_000, 10_060)) and not kept & set(range(10_060, 10_065))
+
+
 def test_near_copies_are_those_of_all_pairs(spark, sf_dir):
     """sf0.01 has pairs at 0.80 to 0.84 that are more than 4 bits of a SimHash apart."""
     docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")

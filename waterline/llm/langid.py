@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import sys
 import types
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,6 +72,14 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return step
 
 
+def random_bits(text: str) -> float:
+    """Bits per letter of letters drawn at random, as often as a learnt text has them (blanks between words count); those
+    of 26 equally likely letters at least."""
+    counts = np.array(list(Counter(" ".join(folded(text).split())).values()), "f8")
+    share = counts / counts.sum()
+    return max(math.log2(26), float(-(share * np.log2(share)).sum()))
+
+
 class Parser:
     """The automata of all languages as tables: the next state times the alphabet, and in the lowest bit whether a phrase
     ended before this letter."""
