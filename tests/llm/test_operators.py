@@ -60,6 +60,20 @@ def test_chunks_give_the_ids_of_whole_texts(path, keep):
         assert encoder.encode([text])[0] == want, repr(text)
 
 
+@pytest.mark.parametrize(("path", "keep"), [(BYTES, True), (WORDS, False)])
+def test_literals_of_added_tokens_have_their_ids(path, keep):
+    plain = Tokenizer.from_file(path)
+    encoder = ChunkEncoder(path, keep, cache_chunks=50)
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDofTEXT|>", "<|", "|>", "<", " ", "\n", "page", "Next", "\u03a3", "e\u0301", "\u0130", "."]
+    texts = ["one page<|endoftext|>next page", "<|endoftext|>", "a <|startoftext|> b", "<|END\u1e9eOFTEXT|>"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(4_000)]
+    for text in texts:
+        want = np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encode([text])[0] == want, repr(text)
+    assert {50256, 49407} & set(np.frombuffer(encoder.encode(texts[:1])[0], "<u4").tolist())
+
+
 def check_pieces(rows, texts: dict) -> None:
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:

@@ -1,7 +1,8 @@
 """Token ids as bytes (little-endian unsigned 32-bit), by the tokenizers library.
 
 Both public vocabularies split a text at spaces before they merge bytes, so a text's ids are those of its
-space-separated chunks in a row. Each distinct chunk is encoded once and kept in a bounded cache.
+space-separated chunks in a row. Each distinct chunk is encoded once and kept in a bounded cache. Texts that hold the
+literal of an added token (<|endoftext|>) are encoded whole.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ class _Chunks(dict):
         super().__init__()
         self.tokenizer = tokenizer
         self.prefix = " " if keep_space else ""
+        added = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
+        self.added = added if keep_space else [x.lower() for x in added]
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -93,17 +96,19 @@ class ChunkEncoder:
         self.cache_chunks = cache_chunks
         caches = _worker_caches()
         if (path, keep_space) not in caches:
-            tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
-            caches[path, keep_space] = _Chunks(tokenizer, keep_space)
+            caches[path, keep_space] = _Chunks(Tokenizer.from_file(path), keep_space)
         self.cache = caches[path, keep_space]
 
     def encode_one(self, text: str | None) -> bytes:
         if not text:
             return b""
+        # An added token's literal has an id of its own, and one in capitals has none but would gain it in lower case.
+        folded = text if self.keep_space else text.lower()
+        if any(x in folded for x in self.cache.added):
+            return self.cache.whole(text)
         if not self.keep_space:
             if "\u03a3" not in text and unicodedata.is_normalized("NFC", text):
-                text = text.lower()  # fewer distinct chunks; the sigma's lower case depends on its place
+                text = folded  # fewer distinct chunks; the sigma's lower case depends on its place
             return b"".join(map(self.cache.__getitem__, text.replace("\n", " ").split(" ")))
         if _SUSPECT.search(text) and _RUN.search(text):
             return self.cache.whole(text)
