@@ -305,6 +305,23 @@ def test_language_held_out(spark, docs, odd):
     assert {r["lang_pred"] for r in langid.identify(odd, {}).collect()} == {"und"}
 
 
+def test_references_collect_a_bounded_sample(spark, monkeypatch):
+    """Of a number that comes 500 times, one text goes to the driver."""
+    rows = [(1, f"text number {'abcdefghij'[i % 10]}", "en") for i in range(500)] + [(7, "ein anderer text", "de"), (1, None, "de")]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sizes, collect = [], type(given).collect
+
+    def counted(self):
+        found = collect(self)
+        sizes.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(given), "collect", counted)
+    found = langid.references(given)
+    assert found["en"].startswith(" text number j") and found["de"] == " ein anderer text"
+    assert max(sizes) <= 2 * langid.REFERENCE_DOCS
+
+
 def plain_links(rows):
     ok = {i: np.array(v, "f8") for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)}
     unit = {i: v / np.linalg.norm(v) for i, v in ok.items()}

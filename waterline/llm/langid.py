@@ -181,10 +181,10 @@ def references(docs: DataFrame, chars: int = REFERENCE_CHARS, most_docs: int = R
     chosen = open_docs.select("doc_id", "lang", F.row_number().over(order).alias("turn")).where(F.col("turn") <= most_docs)
     # At most most_docs for each language.
     wanted = chosen.collect()
-    texts = docs.where(F.col("doc_id").isin([r["doc_id"] for r in wanted])).select("doc_id", "lang", F.substring("text", 1, chars).alias("text"))
-    by_doc: dict = {}
-    for r in texts.collect():
-        by_doc[r["doc_id"], r["lang"]] = max(by_doc.get((r["doc_id"], r["lang"]), ""), r["text"] or "")
+    texts = docs.where(F.col("doc_id").isin([r["doc_id"] for r in wanted]) & F.col("lang").isin(list({r["lang"] for r in wanted})))
+    # One text for each number and language, however often a number comes.
+    texts = texts.groupBy("doc_id", "lang").agg(F.max(F.substring("text", 1, chars)).alias("text"))
+    by_doc = {(r["doc_id"], r["lang"]): r["text"] or "" for r in texts.collect()}
     found: dict[str, str] = {}
     for r in sorted(wanted, key=lambda r: (r["lang"], r["turn"])):
         found[r["lang"]] = (found.get(r["lang"], "") + " " + by_doc.get((r["doc_id"], r["lang"]), ""))[: chars + 1]
