@@ -88,6 +88,17 @@ def test_near_copies_are_those_of_all_pairs(spark, sf_dir):
     assert sorted(r["doc_id"] for r in found.collect()) == sorted(kept)
 
 
+def test_one_row_of_each_group_where_numbers_repeat(spark, sf_dir):
+    """Exact copies without a number, and a copy that shares its number with a unique text."""
+    same = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, same), (None, same), (5, same), (5, "a text of its own"), (5, same), (3, same + " more")]
+    rows += [(None, "only this one"), (None, "only this one"), (None, None), (9, " ")]
+    given = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], spark.read.parquet(f"{sf_dir}/documents.parquet").schema)
+    stage = dict(corpus_pipeline.STAGES)["near-duplicates"]
+    found = sorted((str(r["doc_id"]), r["text"]) for r in stage(spark, given, sf_dir).collect())
+    assert found == sorted([("3", same + " more"), ("5", "a text of its own"), ("None", "only this one"), ("9", " ")])
+
+
 def test_near_copies_of_planted_similarity():
     """Pairs at every similarity from 0.8 on share a band, and only those at the threshold link."""
     rng = random.Random(8)
