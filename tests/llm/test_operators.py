@@ -375,6 +375,25 @@ def test_vantage_point_trees(spark, sf_dir, factor):
     assert vptree.nearest(table.limit(0), 20).count() == 0
 
 
+@pytest.mark.parametrize("factor", [1.0, 1.1])
+def test_vantage_point_tree_that_prunes(factor):
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((60, 16))
+    x = np.repeat(centres, 100, axis=0) + 0.02 * rng.standard_normal((6_000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree, scanned = vptree.Tree(np.arange(6_000), x, factor), []
+    offer = tree._offer
+    tree._offer = lambda rows, active: (scanned.append(len(rows) * len(active)), offer(rows, active))
+    asked = np.arange(0, 6_000, 60)
+    found, _ = tree.search(asked, x[asked], 20)
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    want = np.argsort(-score, axis=1, kind="stable")[:, :20]
+    hits = sum(len(set(a) & set(b)) for a, b in zip(found.tolist(), want.tolist()))
+    assert hits == want.size if factor == 1 else hits >= 0.95 * want.size
+    assert sum(scanned) < 0.6 * len(x) * len(asked)
+
+
 def test_quality_held_out(spark, sf_dir, docs, odd):
     docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/labels.parquet")
