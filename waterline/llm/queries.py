@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from waterline.llm.bpe import op12_bpe_pair_index
+from waterline.llm.collocations import OP11_SQL, op11_hat_trie_collocations
+from waterline.llm.conversations import op13_conversation_repair
 from waterline.llm.embeddings import op7_embedding_neardup
 from waterline.llm.idstore import op10_zstd_dictionary_store
 from waterline.llm.langid import op6_language_cross_parsing
@@ -30,8 +33,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_hierarchical_quality,
         op9_vantage_point_search,
         op10_zstd_dictionary_store,
+        op11_hat_trie_collocations,
+        op12_bpe_pair_index,
+        op13_conversation_repair,
     )
 }
 
 #: The others can't be said in SQL; tests/llm holds them against brute force, round trips or held-out labels.
-ORACLES = {"op4_temporal_url_lists": OP4_SQL, "op5_mix_water_filling": OP5_SQL}
+ORACLES = {"op4_temporal_url_lists": OP4_SQL, "op5_mix_water_filling": OP5_SQL, "op11_hat_trie_collocations": OP11_SQL}
