@@ -52,7 +52,7 @@ def plain_ids(path: str, text: str | None) -> list[int]:
 def test_chunks_give_the_ids_of_whole_texts(path, keep):
     plain = Tokenizer.from_file(path)
     plain.encode_special_tokens = True
-    encoder = ChunkEncoder(path, keep, cache_chunks=50)
+    encoder = ChunkEncoder(path, keep, cache_bytes=5_000)
     rng = random.Random(3)
     for _ in range(4_000):
         text = "".join(rng.choice(" \n\tab'sS1.,ΣİÁé\r") for _ in range(rng.randint(0, 10)))
@@ -63,7 +63,7 @@ def test_chunks_give_the_ids_of_whole_texts(path, keep):
 @pytest.mark.parametrize(("path", "keep"), [(BYTES, True), (WORDS, False)])
 def test_literals_of_added_tokens_have_their_ids(path, keep):
     plain = Tokenizer.from_file(path)
-    encoder = ChunkEncoder(path, keep, cache_chunks=50)
+    encoder = ChunkEncoder(path, keep, cache_bytes=5_000)
     rng = random.Random(4)
     parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDofTEXT|>", "<|", "|>", "<", " ", "\n", "page", "Next", "\u03a3", "e\u0301", "\u0130", "."]
     texts = ["one page<|endoftext|>next page", "<|endoftext|>", "a <|startoftext|> b", "<|END\u1e9eOFTEXT|>"]
@@ -116,7 +116,26 @@ def test_differencing_is_near_equal_and_complete():
     assert max(sums) - min(sums) < 30
     assert packing.difference([5], 3) == [[0], [], []]
     # Two windows would have room for the sum, but not for three equal pieces.
-    assert len(packing.windows([6, 6, 6], 10)) == 3
+    assert sorted(packing.windows([6, 6, 6], 10, most_padding=0.5)) == [[(0, 0, 6)], [(1, 0, 6)], [(2, 0, 6)]]
+    cut = packing.windows([6, 6, 6], 10)
+    assert [sum(x[2] for x in w) for w in cut] in ([10, 8], [8, 10]) and sum(len(w) for w in cut) == 4
+    for _ in range(200):
+        sizes = [rng.randint(1, 30) for _ in range(rng.randint(0, 40))]
+        made = packing.windows(sizes, 30)
+        assert len(made) == -(-sum(sizes) // 30) or 30 * len(made) * (1 - packing.MOST_PADDING) <= sum(sizes)
+        assert all(sum(x[2] for x in w) <= 30 for w in made)
+        held = sorted(x for w in made for x in w)
+        assert [sum(x[2] for x in held if x[0] == i) for i in range(len(sizes))] == sizes
+        assert all(b[1] == a[1] + a[2] if a[0] == b[0] else b[1] == 0 for a, b in zip(held, held[1:]))
+
+
+def test_few_documents_that_fit_are_cut(spark, sf_dir):
+    big = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").coalesce(1)
+    rows = packing.pack(big, BYTES).collect()
+    pieces = Counter(r["doc_id"] for r in rows if r["doc_tokens"] <= 2048)
+    assert sum(n > 1 for n in pieces.values()) < 0.1 * len(pieces)
+    used, sequences = sum(r["length"] for r in rows), len({r["sequence_id"] for r in rows})
+    assert 1 - used / 2048 / sequences < 0.02
 
 
 def test_hypergeometric_distribution():

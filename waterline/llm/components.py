@@ -27,7 +27,7 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     Nodes may be of any ordered type. Repeated links and links of a node to itself do no harm; links with a null
     end are ignored; an empty table gives no rows. Each round is written to the shared folder.
     """
-    kept = links.select("a", "b").where("a is not null and b is not null")
+    kept = materialize(links.select("a", "b").where("a is not null and b is not null").distinct(), "links")
     ends = kept.select(F.col("a").alias("node")).union(kept.select(F.col("b").alias("node"))).distinct()
     # Each link once, from the larger to the smaller end.
     edges = materialize(

@@ -11,8 +11,6 @@ lanes; a phrase ends where its lane does.
 from __future__ import annotations
 
 import math
-import sys
-import types
 from collections import Counter
 from collections.abc import Iterator
 
@@ -155,16 +153,6 @@ class Parser:
         return langs, np.where(known, share, 0.0), np.where(known, bits[np.arange(len(texts)), best], 0.0)
 
 
-def _parser(references: dict[str, str]) -> Parser:
-    """Built once for a Python worker, which runs many tasks."""
-    kept = vars(sys.modules.setdefault("_language_parsers", types.ModuleType("_language_parsers")))
-    key = hash(tuple(sorted(references.items())))
-    if key not in kept:
-        kept.clear()
-        kept[key] = Parser(references)
-    return kept[key]
-
-
 def held_out() -> Column:
     """Documents that nothing is learnt from: crc32 of the doc_id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -206,7 +194,7 @@ def identify(docs: DataFrame, learned: dict[str, str] | None = None) -> DataFram
     at = rows.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(known)
+        parser = Parser(known)
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for part in batched(texts, 2_000_000):

@@ -2,8 +2,9 @@
 
 Each task packs the documents of its own partition, in the order it reads them: no shuffle, and a hot source or
 a long document is nothing special. Pieces of a whole sequence's length stand alone. What is left of each
-document is cut into fragments; a run of fragments that fills a number of windows forms a group, and
-differencing deals a group into that many windows of nearly equal length.
+document stays whole; a run of these that fills a number of windows forms a group, and differencing deals a group into
+windows of nearly equal length. Their number rises while one exceeds the capacity and padding stays within a bound;
+only what still exceeds is cut off and fills windows with room.
 """
 
 from __future__ import annotations
@@ -16,13 +17,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waterline.llm.tokens import END_BYTES, ChunkEncoder, batched
+from waterline.llm.bpe import text_slices
+from waterline.llm.tokens import END_BYTES, ChunkEncoder
 
 SEQUENCE_TOKENS = 2048
-#: Windows of a group, the longest fragment, and the tokens per window that a group leaves free for imbalance.
+#: Windows of a group, the share of them that a group leaves free for imbalance, and the share that may be padding.
 GROUP_WINDOWS = 256
-FRAGMENT_TOKENS = 256
-SLACK_TOKENS = 8
+SLACK = 0.01
+MOST_PADDING = 0.015
+#: Bytes of text that are encoded at a time (one text at least).
+BATCH_BYTES = 2_000_000
 #: Sequence ids of a task start at its partition number times this.
 SEQUENCES_PER_PARTITION = 1 << 36
 
@@ -59,14 +63,42 @@ def difference(sizes: list[int], ways: int) -> list[list[int]]:
     return found + [[] for _ in range(ways - len(found))]
 
 
-def windows(sizes: list[int], capacity: int) -> list[list[int]]:
-    """The fewest windows, from the least possible number on, for which differencing keeps to the capacity."""
-    ways = max(1, -(-sum(sizes) // capacity))
+def windows(sizes: list[int], capacity: int, most_padding: float = MOST_PADDING) -> list[list[tuple[int, int, int]]]:
+    """Windows of pieces (position in sizes, start, length), none above the capacity.
+
+    Differencing starts at the least possible number of windows, which rises whenever the capacity is exceeded, until more
+    of all room than most_padding would be empty. The pieces that exceed it then are cut.
+    """
+    total = sum(sizes)
+    ways = max(1, -(-total // capacity))
     while True:
         found = difference(sizes, ways)
-        if max((sum(sizes[i] for i in w) for w in found), default=0) <= capacity:
-            return [w for w in found if w]
+        held = [sum(sizes[i] for i in w) for w in found]
+        if max(held, default=0) <= capacity or total < (1 - most_padding) * (ways + 1) * capacity:
+            break
         ways += 1
+    pieces = [[(i, 0, sizes[i]) for i in w] for w in found]
+    spare = []
+    for w, n in zip(pieces, held):
+        while n > capacity:
+            w.sort(key=lambda x: x[2])
+            i, start, length = w.pop()
+            cut = min(n - capacity, length)
+            if cut < length:
+                w.append((i, start, length - cut))
+            spare.append((i, start + length - cut, cut))
+            n -= cut
+    room = [(n - capacity, k) for k, n in enumerate(held) if n < capacity]
+    heapq.heapify(room)
+    for i, start, length in sorted(spare, key=lambda x: -x[2]):
+        while length:
+            free, k = heapq.heappop(room)
+            cut = min(length, -free)
+            pieces[k].append((i, start, cut))
+            start, length = start + cut, length - cut
+            if free + cut:
+                heapq.heappush(room, (free + cut, k))
+    return [w for w in pieces if w]
 
 
 class _Packer:
@@ -75,8 +107,7 @@ class _Packer:
     def __init__(self, partition: int, capacity: int):
         self.next_id = partition * SEQUENCES_PER_PARTITION
         self.capacity = capacity
-        self.room = GROUP_WINDOWS * (capacity - min(SLACK_TOKENS, capacity // 256))
-        self.most = max(1, min(FRAGMENT_TOKENS, capacity))
+        self.room = int(GROUP_WINDOWS * capacity * (1 - SLACK))
         self.group: list[tuple] = []
         self.filled = 0
         self.placed: list[tuple] = []
@@ -85,26 +116,27 @@ class _Packer:
         total = len(ids) // 4
         whole = total - total % self.capacity
         for start in range(0, whole, self.capacity):
-            self._place([(doc_id, start, self.capacity, total, ids)])
-        start = whole
-        while start < total:
-            n = min(self.most, total - start, self.room - self.filled)
-            self.group.append((doc_id, start, n, total, ids))
-            self.filled += n
-            start += n
-            if self.filled == self.room:
+            self._place([(doc_id, start, self.capacity, total, ids[4 * start : 4 * (start + self.capacity)])])
+        if whole < total:
+            if self.filled + total - whole > self.room:
                 self.flush()
+            self.group.append((doc_id, whole, total - whole, total, ids[4 * whole :]))
+            self.filled += total - whole
 
     def flush(self) -> None:
         if self.group:
             for window in windows([x[2] for x in self.group], self.capacity):
-                self._place([self.group[i] for i in window])
+                made = []
+                for i, start, length in window:
+                    doc_id, first, _, total, ids = self.group[i]
+                    made.append((doc_id, first + start, length, total, ids[4 * start : 4 * (start + length)]))
+                self._place(made)
         self.group, self.filled = [], 0
 
     def _place(self, pieces: list[tuple]) -> None:
         offset = 0
         for doc_id, start, n, total, ids in pieces:
-            self.placed.append((doc_id, start, n, total, self.next_id, offset, ids[4 * start : 4 * (start + n)]))
+            self.placed.append((doc_id, start, n, total, self.next_id, offset, ids))
             offset += n
         self.next_id += 1
 
@@ -123,6 +155,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS) -> Da
     (ids of its document before it), length, doc_tokens (with the end id), sequence_id, offset (in the sequence)
     and ids (bytes, little-endian unsigned 32-bit).
 
+    A document that fits one sequence stays whole but for the few that are cut to fill room.
     A null or empty text has the end id only. Rows count one by one: a repeated or null doc_id gives the pieces of
     each of its rows. Other columns are ignored. An empty table gives no piece. Sequence ids depend on how the
     table is split, not on retries: a task that is run again reads the same split in the same order.
@@ -132,9 +165,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS) -> Da
         encoder = ChunkEncoder(tokenizer, keep_space=True)
         packer = _Packer(TaskContext.get().partitionId(), capacity)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for part in batched(texts):
-                for doc_id, ids in zip(keys[part], encoder.encode(texts[part])):
+            for part in text_slices(batch, 1, BATCH_BYTES):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
                     packer.add(doc_id, ids + END_BYTES)
                 yield packer.take()
         packer.flush()

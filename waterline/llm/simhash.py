@@ -26,6 +26,8 @@ MOST_BITS = 4
 SEED = 42
 #: Fingerprints of a bucket that one task compares; larger buckets are dealt out anew.
 BUCKET = 8_192
+#: Fingerprints that a task files under all their keys.
+FILED = 16_384
 #: Up to this many, a bucket's members are compared by offsets, many buckets at a time.
 SMALL_BUCKET = 24
 
@@ -60,16 +62,20 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def with_fingerprint(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) of (doc_id, text): the fingerprint as a signed 64-bit number, a row for each row."""
+    """(doc_id, row, fp) of (doc_id, text): a hash of both, and the fingerprint as a signed 64-bit number; a row for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(1)
             values = np.fromiter((fingerprint(x.as_py(), words) for x in column), "u8", len(column))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view("i8"))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values.view("i8"))], names=["doc_id", "row", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), _row_hash().alias("row"))
+    return rows.mapInArrow(run, "doc_id bigint, row bigint, fp bigint")
+
+
+def _row_hash() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
 
 
 def _bits(segment: str, width: int) -> Column:
@@ -183,7 +189,9 @@ def fingerprint_links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
     fps: distinct `fp`. Small buckets give every link, large ones a spanning forest of theirs.
     """
-    filed = _file(fps.select("fp"), 0)
+    # Every fingerprint is filed under 66 keys, so they are dealt out before, a bounded number to a task.
+    parts = max(1, -(-fps.count() // FILED))
+    filed = _file(fps.select("fp").repartition(parts, "fp"), 0)
     found = []
     for level in range(3):
         ready, crowded = filed, None
@@ -216,6 +224,13 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bucket: int = B
     stay. Other columns are ignored. An empty table gives no rows.
     """
     rows = materialize(with_fingerprint(docs, words), "fingerprints")
+    return _attach(rows, _classes(rows, bucket)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _classes(rows: DataFrame, bucket: int) -> DataFrame:
+    """(fp, component, component_id) for every fingerprint of rows (doc_id, fp): its least fingerprint and doc_id."""
     reps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
     nodes = connected(fingerprint_links(reps, bucket))
     # The links of fingerprints, then the smallest doc_id of each component of fingerprints.
@@ -223,8 +238,19 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bucket: int = B
         "fp", "rep", F.coalesce("component", "fp").alias("component")
     )
     smallest = member.groupBy("component").agg(F.min("rep").alias("component_id"))
-    classes = materialize(member.join(smallest, "component").select("fp", "component_id"), "classes")
-    return _attach(rows, classes).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return materialize(member.join(smallest, "component").select("fp", "component", "component_id"), "classes")
+
+
+def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, bucket: int = BUCKET) -> DataFrame:
+    """One row of docs (doc_id, text, ...) for each component: that of the smallest doc_id (nulls last), then of the smallest
+    hash of doc_id and text. Of rows that agree in both, any one. Otherwise as near_duplicates.
+    """
+    rows = materialize(with_fingerprint(docs, words), "fingerprints")
+    member = _attach(rows, _classes(rows, bucket))
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
+    first = member.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.row").alias("__row"))
+    kept = docs.withColumn("__row", _row_hash()).join(first, "__row", "left_semi")
+    return kept.dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def _attach(rows: DataFrame, classes: DataFrame, salts: int = 32) -> DataFrame:

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from waterline.llm.langid import identify, random_bits, references
 from waterline.llm.mixing import mix, mixed_rows
-from waterline.llm.nearcopies import near_copies, one_of_each
 from waterline.llm.packing import digest, pack
 from waterline.llm.quality import classify, learn
-from waterline.llm.simhash import near_duplicates
+from waterline.llm.simhash import one_of_each
 
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -34,19 +33,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group, that of the smallest doc_id.
-
-    Of rows that share this doc_id one stays, and so does every row without one.
-    """
-    groups = near_duplicates(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*DOCUMENTS)
-
-
-def near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
-    return one_of_each(docs, near_copies(docs)).select(*DOCUMENTS)
+    """Keeps one document of each group of SimHash near-duplicates (four-word shingles, 4 of 64 bits)."""
+    return one_of_each(docs).select(*DOCUMENTS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,9 @@ import types
 import unicodedata
 from array import array
 
+#: Bytes of a worker's cache of chunks. A chunk that alone is larger is not kept.
+CACHE_BYTES = 32 << 20
+
 END_ID = 1
 END_BYTES = END_ID.to_bytes(4, "little")
 
@@ -40,6 +43,8 @@ class _Chunks(dict):
     def __init__(self, tokenizer, keep_space: bool):
         super().__init__()
         self.tokenizer = tokenizer
+        self.bytes, self.most_bytes = 0, CACHE_BYTES
+        self.marks: dict[str, bytes] = {}
         self.prefix = " " if keep_space else ""
         added = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
         self.added = added if keep_space else [x.lower() for x in added]
@@ -70,34 +75,38 @@ class _Chunks(dict):
             found = self[chunk[:-1]] + self._mark(chunk[-1])
         else:
             found = self.whole(self.prefix + chunk)
-        self[chunk] = found
+        # Three objects of about 50 bytes each besides their contents.
+        cost = len(chunk.encode()) + len(found) + 150
+        if self.bytes + cost > self.most_bytes:
+            self.clear()
+            self.bytes = 0
+        if cost <= self.most_bytes:
+            self[chunk] = found
+            self.bytes += cost
         return found
 
     def _mark(self, mark: str) -> bytes:
-        """A mark after letters has no space of its own; the key can't be a chunk, which holds no space."""
-        key = " " + mark
-        if key not in self:
-            self[key] = self.whole(mark)
-        return self[key]
+        """A mark after letters has no space of its own."""
+        return self.marks.get(mark) or self.marks.setdefault(mark, self.whole(mark))
 
 
 class ChunkEncoder:
     """Encodes texts chunk by chunk.
 
     keep_space: whether a chunk owns the space before it (byte-level vocabularies) or spaces are dropped.
-    cache_chunks: the cache is emptied when it holds more distinct chunks than this; results do not depend on it.
+    cache_bytes: the cache is emptied before it grows beyond this; results do not depend on it.
     """
 
-    def __init__(self, path: str, keep_space: bool, cache_chunks: int = 1_000_000):
+    def __init__(self, path: str, keep_space: bool, cache_bytes: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.keep_space = keep_space
-        self.cache_chunks = cache_chunks
         caches = _worker_caches()
         if (path, keep_space) not in caches:
             caches[path, keep_space] = _Chunks(Tokenizer.from_file(path), keep_space)
         self.cache = caches[path, keep_space]
+        self.cache.most_bytes = CACHE_BYTES if cache_bytes is None else cache_bytes
 
     def encode_one(self, text: str | None) -> bytes:
         if not text:
@@ -117,8 +126,6 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every whole text, without an end id. A null text has none."""
-        if len(self.cache) > self.cache_chunks:
-            self.cache.clear()
         return [self.encode_one(x) for x in texts]
 
 
