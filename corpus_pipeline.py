@@ -13,12 +13,12 @@ from waterline.llm.store import shared_path
 STAGES = [
     ("quality classifier", stages.quality),
     ("language identification", stages.language),
-    ("near-duplicates", stages.near_copy),
+    ("SimHash near-duplicates", stages.near_duplicate),
     ("mixing to target weights", stages.mixing),
     ("packing", stages.packing),
 ]
 
-#: Classifier, automata, shingles and tokenizer can't be said in SQL; tests/llm checks the rows by brute force.
+#: Classifier, automata, fingerprints and tokenizer can't be said in SQL; tests/llm checks the rows by brute force.
 ORACLE_SQL = None
 
 
