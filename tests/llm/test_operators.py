@@ -256,6 +256,31 @@ def test_url_lists_as_of(spark):
     assert url_lists.judge(given.limit(0), lists).count() == 0
 
 
+def test_url_lists_keep_the_case_of_paths(spark):
+    from datetime import date
+
+    entries = [("bad", "block", " Example.COM/Docs/ ", date(2024, 1, 1), True), ("bad", "block", "org", date(2024, 1, 1), True)]
+    lists = spark.createDataFrame(entries, "list string, action string, key string, entry_date date, active boolean")
+    urls = ["http://example.com/Docs/a", "http://example.com/docs/a", "http://EXAMPLE.com//Docs", "http://example.com/Docs2", "http://a.b.ORG/x"]
+    given = spark.createDataFrame([(u, date(2024, 2, 1)) for u in urls], "url string, fetched date")
+    found = {r["url"]: r["verdict"] for r in url_lists.judge(given, lists).collect()}
+    assert [found[u] for u in urls] == ["block", "none", "block", "none", "block"]
+
+
+def test_url_lists_take_long_urls(spark):
+    import time
+    from datetime import date
+
+    entries = [("bad", "block", "example.com/a/a/a", date(2024, 1, 1), True), ("bad", "block", "a.org", date(2024, 1, 1), True)]
+    lists = spark.createDataFrame(entries, "list string, action string, key string, entry_date date, active boolean")
+    urls = ["http://example.com" + "/a" * 100_000, "http://" + "a." * 100_000 + "org/"]
+    given = spark.createDataFrame([(u, date(2024, 2, 1)) for u in urls], "url string, fetched date")
+    url_lists.judge(given, lists).collect()
+    start = time.perf_counter()
+    assert {r["listed_key"] for r in url_lists.judge(given, lists).collect()} == {"example.com/a/a/a", "a.org"}
+    assert time.perf_counter() - start < 20
+
+
 def test_mixing(spark, docs, odd):
     rows = mixing.mix(docs).collect()
     sizes, taken, goal = Counter(), Counter(), {}

@@ -2,7 +2,7 @@
 
 Dated entries of a key become validity intervals, each up to the key's next entry. A capture is looked up under its host,
 its parent domains and its path prefixes by an equality join on key and span of time; the interval is checked after that.
-The longest listed key decides; between lists of the same key, allowing beats blocking.
+The longest listed key decides; between lists of the same key, allowing beats blocking. Hosts compare in lower case, paths as written.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from waterline.llm.store import materialize
 #: Days of a span. An interval is filed under each span it touches up to the last capture.
 SPAN_DAYS = 64
 MOST_BROADCAST = 200_000
+#: Different numbers of labels or path segments in the lists.
+MOST_SHAPES = 10_000
 SALTS = 16
 
 
@@ -24,22 +26,43 @@ def host_of(url: Column) -> Column:
     return F.nullif(F.regexp_replace(host, r"\.$", ""), F.lit(""))
 
 
-def keys_of(url: Column) -> Column:
-    """Keys an entry may name: the host, its parent domains, and the host with each prefix of path segments."""
+def entry_key(key: Column) -> Column:
+    """A listed key: host in lower case, without slashes at the end. Paths keep their case."""
+    key = F.regexp_replace(F.trim(key), "/+$", "")
+    host = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(host), F.substring(key, F.char_length(host) + 1, F.char_length(key)))
+
+
+def keys_of(url: Column, labels: list[int], segments: list[int]) -> Column:
+    """Keys an entry may name: the host and parent domains of so many labels, and the host with so many path segments.
+
+    Only numbers that occur in a list are worth looking up; all prefixes of a long path would take its length squared.
+    """
     host = host_of(url)
-    labels = F.split(host, r"\.")
-    domains = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
+    label = F.split(host, r"\.")
     path = F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
+    segment = F.filter(F.split(path, "/"), lambda s: s != "")
+
+    def upto(numbers: list[int], most: Column) -> Column:
+        return F.filter(F.array(*map(F.lit, numbers)).cast("array<int>"), lambda n: n <= most)
+
+    domains = F.transform(upto(labels, F.size(label)), lambda n: F.array_join(F.slice(label, F.size(label) - n + 1, n), "."))
     prefixes = F.transform(
-        F.when(F.size(segments) > 0, F.sequence(F.lit(1), F.size(segments))).otherwise(F.array().cast("array<int>")),
-        lambda i: F.concat_ws("/", host, F.array_join(F.slice(segments, F.lit(1), i), "/")),
+        upto(segments, F.size(segment)), lambda n: F.concat_ws("/", host, F.array_join(F.slice(segment, F.lit(1), n), "/"))
     )
     return F.when(host.isNotNull(), F.array_distinct(F.concat(domains, prefixes)))
 
 
+def _shapes(keys: DataFrame) -> tuple[list[int], list[int]]:
+    """Numbers of labels of the hosts listed, and of path segments of the prefixes listed."""
+    parts = F.size(F.split("key", "/")) - 1
+    shape = F.when(parts == 0, F.size(F.split("key", r"\."))).otherwise(-parts)
+    found = [r["shape"] for r in keys.select(shape.alias("shape")).distinct().limit(MOST_SHAPES + 1).collect()]
+    if len(found) > MOST_SHAPES:
+        raise ValueError(f"the lists hold keys of more than {MOST_SHAPES} different numbers of labels or segments")
+    return sorted(n for n in found if n > 0), sorted(-n for n in found if n < 0)
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """Validity of dated entries (list, action, key, entry_date, active): rows (list, action, key, valid_from, valid_to).
 
@@ -49,7 +72,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     """
     clean = entries.where("key is not null and entry_date is not null").select(
         F.coalesce("list", F.lit("")).alias("list"),
-        F.lower(F.trim("key")).alias("key"),
+        entry_key(F.col("key")).alias("key"),
         F.col("entry_date").cast("date").alias("valid_from"),
         F.struct(
             F.coalesce(F.col("active"), F.lit(False)).alias("active"),
@@ -79,12 +102,13 @@ def judge(captures: DataFrame, entries: DataFrame, most_broadcast: int = MOST_BR
     captures = captures.drop(*results)
     asked = captures.select(F.col("url").alias("__url"), F.col("fetched").cast("date").alias("__day")).distinct()
     asked = asked.where("__url is not null and __day is not null")
-    looked_up = asked.withColumn("__key", F.explode(keys_of(F.col("__url")))).withColumn("__span", _span(F.col("__day")))
     edge = captures.agg(F.min(F.col("fetched").cast("date")).alias("a"), F.max(F.col("fetched").cast("date")).alias("b")).first()
     valid = intervals(entries).withColumn("last", F.least(F.date_sub("valid_to", 1), F.lit(edge["b"]).cast("date")))
     valid = valid.withColumn("first", F.greatest("valid_from", F.lit(edge["a"]).cast("date"))).where("first <= last")
     filed = valid.withColumn("span", F.explode(F.sequence(_span(F.col("first")), _span(F.col("last")))))
     filed = materialize(filed.drop("first", "last"), "list-intervals")
+    keys = keys_of(F.col("__url"), *_shapes(filed))
+    looked_up = asked.withColumn("__key", F.explode(keys)).withColumn("__span", _span(F.col("__day")))
     at = (F.col("__key") == F.col("key")) & (F.col("__span") == F.col("span"))
     if filed.count() <= most_broadcast:
         filed = F.broadcast(filed)
@@ -174,9 +198,9 @@ WITH captures AS (
            20 + {_sql_number('key', 'again:')} % 60 AS pause, {_sql_number('key', 'back:')} % 2 = 0 AS back
     FROM named
 ), valid AS (
-    SELECT list, action, lower(trim(key)) AS key, DATE '2024-01-01' + first AS valid_from, DATE '2024-01-01' + (first + held) AS valid_to FROM days
+    SELECT list, action, rtrim(trim(key), '/') AS key, DATE '2024-01-01' + first AS valid_from, DATE '2024-01-01' + (first + held) AS valid_to FROM days
     UNION ALL
-    SELECT list, action, lower(trim(key)), DATE '2024-01-01' + (first + held + pause), NULL FROM days WHERE back
+    SELECT list, action, rtrim(trim(key), '/'), DATE '2024-01-01' + (first + held + pause), NULL FROM days WHERE back
 ), hits AS (
     SELECT c.page_id, v.*, row_number() OVER (PARTITION BY c.page_id ORDER BY length(v.key) DESC, v.action, v.list, v.key, v.valid_from) AS place
     FROM (
