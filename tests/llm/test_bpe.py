@@ -56,6 +56,8 @@ def test_ids_and_texts(spark, path, library, batch_chars):
     found = sorted((r["text"], r["ids"]) for r in rows)
     assert found == sorted((x or "", library.encode(x or "", add_special_tokens=False).ids) for x in texts)
     assert sum(r["doc_id"] is None for r in rows) == 1
+    both = encode(docs, path, batch_chars, decoded=True).collect()
+    assert sorted((r["text"], r["ids"]) for r in both) == found
 
 
 def test_documents(spark, path, library):

@@ -23,7 +23,7 @@ from waterline.llm.tokens import BYTE_LETTERS
 #: Fixed value: how byte-level vocabularies split a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of the texts that share an index (one text at least, whatever its length).
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 4_000_000
 
 
 class Vocabulary:
@@ -158,8 +158,8 @@ class Vocabulary:
                 found += map(numbers.__getitem__, self.split(part))
                 if added is not None:
                     found.append(-1 - added)
-            sequences.append(np.array(found, "i8"))
-        words = np.concatenate([*sequences, np.empty(0, "i8")])
+            sequences.append(np.array(found, "i4"))
+        words = np.concatenate([*sequences, np.empty(0, "i4")])
         ids, starts = self.merge(list(numbers))
         # An added token is a word of one id behind those of the batch.
         extra = np.unique(words[words < 0])
@@ -181,7 +181,6 @@ class Vocabulary:
 
     def decode(self, ids: np.ndarray, stops: np.ndarray) -> list[str]:
         """The texts of ids that lie between the stops. Unknown ids are left out, bytes that are no UTF-8 replaced."""
-        ids = ids.astype("i8")
         known = (ids >= 0) & (ids < len(self.spelled_to) - 1)
         ids = np.where(known, ids, 0)
         length = np.where(known, self.spelled_to[ids + 1] - self.spelled_to[ids], 0)
@@ -201,7 +200,11 @@ class _Numbers(dict):
 def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... for each span, one span after another."""
     before = np.cumsum(length) - length
-    return np.repeat(start - before, length) + np.arange(int(length.sum()))
+    total = int(length.sum())
+    kind = "i4" if total + int(start.max(initial=0)) < 1 << 31 else "i8"
+    spans = np.repeat((start - before).astype(kind), length)
+    spans += np.arange(total, dtype=kind)
+    return spans
 
 
 def _from_the_left(at: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -223,9 +226,11 @@ def text_slices(batch: pa.RecordBatch, column: int, most_chars: int) -> Iterator
         start = stop
 
 
-def encode(docs: DataFrame, path: str, batch_chars: int = BATCH_CHARS) -> DataFrame:
+def encode(docs: DataFrame, path: str, batch_chars: int = BATCH_CHARS, decoded: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) for every row of (doc_id, text).
 
+    decoded: also `text`, what decode makes of the ids, without another pass over them.
+
     path: a byte-level vocabulary of the tokenizers library, the same on every executor. Ids are those of its encode with
     add_special_tokens=False; the literal of an added token has that token's id. A null or empty text has no ids. Rows count
     one by one, whatever their doc_id. Other columns are ignored; an empty table gives no rows. Texts are whole,
@@ -238,10 +243,13 @@ def encode(docs: DataFrame, path: str, batch_chars: int = BATCH_CHARS) -> DataFr
             for part in text_slices(batch, 1, batch_chars):
                 ids, stops = vocabulary.encode(part.column(1).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
+                columns = {"doc_id": part.column(0), "ids": lists}
+                if decoded:
+                    columns["text"] = pa.array(vocabulary.decode(ids, stops), pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id bigint, ids array<int>")
+    return rows.mapInArrow(run, "doc_id bigint, ids array<int>" + (", text string" if decoded else ""))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -268,7 +276,7 @@ def op12_bpe_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return decode(encode(docs, path), path).select(
+    return encode(docs, path, decoded=True).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

@@ -15,7 +15,7 @@ import unicodedata
 from array import array
 
 #: Bytes of a worker's cache of chunks. A chunk that alone is larger is not kept.
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 96 << 20
 
 END_ID = 1
 END_BYTES = END_ID.to_bytes(4, "little")
@@ -38,13 +38,15 @@ BYTE_LETTERS = {b: chr(b) if b in _PRINTABLE else chr(256 + _OTHERS.index(b)) fo
 
 
 class _Chunks(dict):
-    """Ids of chunks, made when first asked for."""
+    """Ids of chunks, made when first asked for. When half of the cache is full it becomes the older half; the former older
+    half goes, but for what was asked for since."""
 
     def __init__(self, tokenizer, keep_space: bool):
         super().__init__()
         self.tokenizer = tokenizer
         self.bytes, self.most_bytes = 0, CACHE_BYTES
         self.marks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.prefix = " " if keep_space else ""
         added = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
         self.added = added if keep_space else [x.lower() for x in added]
@@ -67,7 +69,10 @@ class _Chunks(dict):
         return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        if not chunk:
+        found = self.older.pop(chunk, None)
+        if found is not None:
+            pass
+        elif not chunk:
             found = self.whole(self.prefix)
         elif chunk.isalpha():
             found = self.word(chunk)
@@ -77,10 +82,11 @@ class _Chunks(dict):
             found = self.whole(self.prefix + chunk)
         # Three objects of about 50 bytes each besides their contents.
         cost = len(chunk.encode()) + len(found) + 150
-        if self.bytes + cost > self.most_bytes:
+        if self.bytes + cost > self.most_bytes // 2:
+            self.older = dict(self)
             self.clear()
             self.bytes = 0
-        if cost <= self.most_bytes:
+        if cost <= self.most_bytes // 2:
             self[chunk] = found
             self.bytes += cost
         return found
@@ -94,7 +100,7 @@ class ChunkEncoder:
     """Encodes texts chunk by chunk.
 
     keep_space: whether a chunk owns the space before it (byte-level vocabularies) or spaces are dropped.
-    cache_bytes: the cache is emptied before it grows beyond this; results do not depend on it.
+    cache_bytes: the cache never grows beyond this; results do not depend on it.
     """
 
     def __init__(self, path: str, keep_space: bool, cache_bytes: int | None = None):
