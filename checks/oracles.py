@@ -980,9 +980,11 @@ oracle(
     "d9_rank_delta",
     ["obj"],
     _MONTHLY.format("obj")
-    + f", ranked AS MATERIALIZED (SELECT *, {_RUN_RANK} AS rank_no FROM monthly)"
-    + pairs("ranked", _TABLE, "s", False)
-    + f""" SELECT {", ".join("s." + k for k in _TABLE.split(", "))}, {_TIMES},
-    s.c.rank_no AS last_rank_no, s.p.rank_no AS prev_rank_no,
-    {count_text("(s.c.rank_no - s.p.rank_no)", "s.p.rank_no IS NULL")} AS rank_delta_fmt FROM s""",
+    + f""", ranked AS (SELECT {_TABLE}, stat_time, {_RUN_RANK} AS rank_no FROM monthly),
+newest AS (SELECT {_TABLE}, max(stat_time) AS lt FROM ranked GROUP BY ALL),
+older AS (SELECT {_TABLE}, max(stat_time) AS pt FROM ranked JOIN newest USING ({_TABLE}) WHERE stat_time < lt GROUP BY ALL),
+l AS (SELECT {_TABLE}, stat_time, rank_no FROM ranked JOIN newest USING ({_TABLE}) WHERE stat_time = lt),
+p AS (SELECT {_TABLE}, stat_time, rank_no FROM ranked JOIN older USING ({_TABLE}) WHERE stat_time = pt)
+SELECT {_TABLE}, l.stat_time AS last_stat_time, p.stat_time AS prev_stat_time, l.rank_no AS last_rank_no, p.rank_no AS prev_rank_no,
+    {count_text("(l.rank_no - p.rank_no)", "p.rank_no IS NULL")} AS rank_delta_fmt FROM l LEFT JOIN p USING ({_TABLE})""",
 )

@@ -766,6 +766,4 @@ _report(
 
 @query("d9_rank_delta")
 def _(spark, sf_dir):
-    path = scratch_path(spark, "ranked")
-    append_snapshot(_ranked_runs(_monthly(view(spark, sf_dir, "obj"))), "mysql_object", path)
-    return trends.rank_delta(read_snapshots(spark, "mysql_object", path))
+    return trends.rank_delta(_ranked_runs(_monthly(view(spark, sf_dir, "obj"))))

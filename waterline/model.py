@@ -117,55 +117,6 @@ TABLE_STATS = _schema(
     ("version", _string, True),
 )
 
-_number = T.DoubleType()
-# Sizes and counts arrive as integers, doubles or wrapped 64-bit numbers: a string keeps any of them.
-_token = T.StringType()
-
-DB_STATS_DOCUMENT = _schema(
-    ("ok", _number, True),
-    ("version", _string, True),
-    (
-        "databases",
-        T.ArrayType(
-            _schema(
-                ("name", _string, True),
-                ("ok", _number, True),
-                ("dataSize", _token, True),
-                ("indexSize", _token, True),
-                ("storageSize", _token, True),
-            )
-        ),
-        True,
-    ),
-)
-
-COLL_STATS_DOCUMENT = _schema(
-    ("ok", _number, True),
-    (
-        "databases",
-        T.ArrayType(
-            _schema(
-                ("name", _string, True),
-                (
-                    "collections",
-                    T.ArrayType(
-                        _schema(
-                            ("name", _string, True),
-                            ("ok", _number, True),
-                            ("count", _token, True),
-                            ("size", _token, True),
-                            ("totalIndexSize", _token, True),
-                            ("storageSize", _token, True),
-                        )
-                    ),
-                    True,
-                ),
-            )
-        ),
-        True,
-    ),
-)
-
 RELATIONAL_SUMMARY_LINE = _schema(
     ("stat_time", _time, True),
     ("instance_id", _long, True),

@@ -7,12 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waterline.functions import is_blank, normalize_iso_time
-from waterline.model import (
-    ASSET_RECORDS,
-    COLL_STATS_DOCUMENT,
-    DB_STATS_DOCUMENT,
-    TABLE_STATS,
-)
+from waterline.model import ASSET_RECORDS, TABLE_STATS
 
 
 def read_table_stats(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
@@ -23,29 +18,34 @@ def read_table_stats(spark: SparkSession, path: str, format: str = "parquet") ->
 _WRAPPERS = ("$numberLong", "$numberInt", "$numberDouble")
 
 
-def whole_number(token: Column) -> Column:
-    """A number of a statistics document as a bigint, whatever its form: 1024, 1024.0, 2.5e9 or {"$numberLong": "99"}.
+def _read(entry: str, field: str, kind: str) -> Column:
+    """A field of a VARIANT, plain or wrapped ({"$numberLong": "99"}); NULL where it is not of the kind."""
+    paths = [f"$.{field}", *[f"$.{field}['{w}']" for w in _WRAPPERS]]
+    return F.coalesce(*[F.try_variant_get(F.col(entry), path, kind) for path in paths])
+
+
+def flag(entry: str, field: str = "ok") -> Column:
+    """A success flag of a statistics document as a double, whatever its form: 1, 1.0, true or {"$numberDouble": "1.0"}."""
+    return _read(entry, field, "double")
 
-    A fraction is cut off. NULL where the text is no number or no 64-bit one.
+
+def whole_number(entry: str, field: str) -> Column:
+    """A number of a statistics document as a bigint, whatever its form: 1024, 1024.0, 2.5e9, "99" or {"$numberLong": "99"}.
+
+    A fraction is cut off. NULL where the field is no number or no 64-bit one.
     """
-    wrapped = F.coalesce(*[F.get_json_object(token, f"$['{w}']") for w in _WRAPPERS])
-    inner = F.when(token.startswith("{"), wrapped)
-    return F.coalesce(
-        token.try_cast("bigint"),
-        token.try_cast("double").try_cast("bigint"),
-        inner.try_cast("bigint"),
-        inner.try_cast("double").try_cast("bigint"),
-    )
+    return F.coalesce(_read(entry, field, "bigint"), _read(entry, field, "double").try_cast("bigint"))
 
 
 def _with_numbers(entries: DataFrame, entry: str, fields: dict[str, str]) -> DataFrame:
     """Statistics entries with `ok` and their numbers. One that holds something else than numbers is not ok."""
-    numbers = {name: whole_number(F.col(f"{entry}.{field}")) for name, field in fields.items()}
+    numbers = {name: whole_number(entry, field) for name, field in fields.items()}
     bad = F.lit(False)
     for name, field in fields.items():
-        bad = bad | (F.col(f"{entry}.{field}").isNotNull() & F.col(name).isNull())
-    ok = F.when(bad, F.lit(0.0)).otherwise(F.col(f"{entry}.ok"))
-    # Two steps, so that each text is read once.
+        given = F.try_variant_get(F.col(entry), f"$.{field}", "string")
+        bad = bad | (F.col(name).isNull() & given.isNotNull())
+    ok = F.when(bad, F.lit(0.0)).otherwise(flag(entry))
+    # Two steps, so that each number is read once.
     return entries.withColumns(numbers).withColumn("ok", ok)
 
 
@@ -58,14 +58,15 @@ _COLL_NUMBERS = {
 }
 
 
-def _parsed(documents: DataFrame, document: str, schema: T.StructType) -> DataFrame:
-    """The top-level fields of each document as columns; NULLs where the text is no JSON.
+def _parsed(documents: DataFrame, document: str) -> DataFrame:
+    """Each document as a VARIANT `v`, parsed once; NULL where the text is no JSON."""
+    # Unpacked by a generator: a column used by several expressions would be parsed for each of them.
+    return documents.select("instance_id", F.explode(F.array(F.try_parse_json(F.col(document)))).alias("v"))
 
-    Unpacked by a generator and not by field access, which Spark would turn into one parse of the
-    text per field.
-    """
-    parsed = F.from_json(document, schema)
-    return documents.select("instance_id", F.inline(F.array(parsed)))
+
+def _entries(entry: str, field: str) -> Column:
+    """The members of a list; NULL where the field is no list."""
+    return F.try_variant_get(F.col(entry), f"$.{field}", "array<variant>")
 
 
 def read_db_stats(documents: DataFrame, document: str = "document") -> DataFrame:
@@ -73,15 +74,14 @@ def read_db_stats(documents: DataFrame, document: str = "document") -> DataFrame
 
     A document without databases still gives one row, so that its instance is known.
     """
-    entries = _parsed(documents, document, DB_STATS_DOCUMENT).select(
+    entries = _parsed(documents, document).select(
         "instance_id",
-        F.col("ok").alias("list_ok"),
-        "version",
-        F.explode_outer("databases").alias("s"),
-    )
-    return _with_numbers(entries, "s", _DB_NUMBERS).select(
-        "instance_id", "list_ok", "version", F.col("s.name").alias("db_name"), "ok", *_DB_NUMBERS
+        flag("v").alias("list_ok"),
+        F.try_variant_get("v", "$.version", "string").alias("version"),
+        F.explode_outer(_entries("v", "databases")).alias("s"),
     )
+    name = F.try_variant_get("s", "$.name", "string").alias("db_name")
+    return _with_numbers(entries, "s", _DB_NUMBERS).select("instance_id", "list_ok", "version", name, "ok", *_DB_NUMBERS)
 
 
 def read_coll_stats(documents: DataFrame, document: str = "document") -> DataFrame:
@@ -89,15 +89,15 @@ def read_coll_stats(documents: DataFrame, document: str = "document") -> DataFra
 
     Documents whose database list was not readable give no rows.
     """
-    entries = (
-        _parsed(documents, document, COLL_STATS_DOCUMENT)
-        .where(F.col("ok") == 1)
-        .select("instance_id", F.explode("databases").alias("d"))
-        .select("instance_id", F.col("d.name").alias("db_name"), F.explode("d.collections").alias("c"))
-    )
-    return _with_numbers(entries, "c", _COLL_NUMBERS).select(
-        "instance_id", "db_name", F.col("c.name").alias("coll_name"), "ok", *_COLL_NUMBERS
+    databases = _parsed(documents, document).where(flag("v") == 1)
+    databases = databases.select("instance_id", F.explode(_entries("v", "databases")).alias("d"))
+    entries = databases.select(
+        "instance_id",
+        F.try_variant_get("d", "$.name", "string").alias("db_name"),
+        F.explode(_entries("d", "collections")).alias("c"),
     )
+    name = F.try_variant_get("c", "$.name", "string").alias("coll_name")
+    return _with_numbers(entries, "c", _COLL_NUMBERS).select("instance_id", "db_name", name, "ok", *_COLL_NUMBERS)
 
 
 def read_collector_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
