@@ -970,6 +970,14 @@ oracle(
     max(stat_time) AS stat_time, arg_max(total_bytes, (stat_time, total_bytes)) AS total_bytes
 FROM obj GROUP BY 1, 2, 3""",
 )
+oracle(
+    "d7_daily_table",
+    ["obj"],
+    _MONTHLY.format("obj")
+    + """ SELECT CAST(stat_time AS DATE) AS stat_date, instance_id, schema_name,
+    max(stat_time) AS stat_time, arg_max(total_bytes, (stat_time, total_bytes)) AS total_bytes
+FROM monthly GROUP BY 1, 2, 3""",
+)
 oracle(
     "d8_cap_or_threshold",
     ["obj"],

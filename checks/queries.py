@@ -78,8 +78,9 @@ from waterline.operators.snapshots import (
 )
 from waterline.operators.status import derive_status
 from waterline.plans import collect, reports, trends
-from waterline.sources.assets import read_assets, store_assets
+from waterline.sources.assets import read_assets, store_assets, update_assets
 from waterline.sources.facts import (
+    merge_days,
     append_objects,
     append_snapshot,
     append_snapshot_table,
@@ -307,8 +308,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = _asset_table(spark, sf_dir)
     records = view(spark, sf_dir, "records")
-    merged, _ = load_assets(read_assets(spark, path), records, "mysql", RUN_TS)
-    store_assets(merged, path)
+    update_assets(spark, path, lambda held: load_assets(held, records, "mysql", RUN_TS)[0])
     return read_assets(spark, path).drop("secret_ref")
 
 
@@ -326,8 +326,7 @@ _report(
 def _(spark, sf_dir):
     path = _asset_table(spark, sf_dir)
     records = view(spark, sf_dir, "doc_records")
-    merged, _ = load_assets(read_assets(spark, path), records, "mongodb", RUN_TS, KEY_HEX, IV_HEX)
-    store_assets(merged, path)
+    update_assets(spark, path, lambda held: load_assets(held, records, "mongodb", RUN_TS, KEY_HEX, IV_HEX)[0])
     merged = read_assets(spark, path)
     opened = F.when(
         F.col("auth_mode") == "mongo_uri_aes", open_uri(F.col("login_path"), KEY_HEX, IV_HEX)
@@ -751,6 +750,17 @@ _report(
     ),
     "obj",
 )
+@query("d7_daily_table")
+def _(spark, sf_dir):
+    """Runs merged into stored days, the first one twice."""
+    path = scratch_path(spark, "days")
+    runs = _monthly(view(spark, sf_dir, "obj")).withColumn("engine", F.lit("InnoDB")).withColumn("rank_no", F.lit(0))
+    early = runs.where(F.col("stat_time") < "1995-01-01")
+    for part in (early, runs, early):
+        merge_days(part, "mysql_object", path, ["instance_id", "schema_name"], ["total_bytes"])
+    return read_snapshots(spark, "mysql_object", path).select(DATE_COLUMN, "instance_id", "schema_name", "stat_time", "total_bytes")
+
+
 _report(
     "d8_cap_or_threshold",
     lambda o: trends.cap_or_threshold(

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from waterline.operators import ranking
 from waterline.operators.ranking import rank_objects
 from waterline.operators.rollups import instance_storage_summary
 from waterline.operators.snapshots import last_vs_prev, latest
@@ -80,3 +81,32 @@ def test_hot_instance_sums_before_the_shuffle(spark):
     out = instance_storage_summary(df)
     assert "partial_sum" in out._jdf.queryExecution().executedPlan().toString()
     assert out.where("instance_id = 0").first().logical_index_bytes == 20_000
+
+
+def test_equal_sizes_are_ranked_in_parts(spark):
+    """300,000 objects of one size in one run: parts by name, of even size."""
+    df = spark.range(0, ROWS, 1, 8).select(
+        F.lit(1).alias("instance_id"),
+        F.lit(5_000_000).cast("bigint").alias("total_bytes"),
+        F.lpad(F.hex(F.xxhash64("id")), 16, "0").alias("table_name"),
+    )
+    keyed = df.withColumn("_band", F.lit(1)).withColumn("_key", F.struct("table_name"))
+    sizes = sorted(r["count"] for r in ranking._with_part(keyed, ["instance_id"], 20_000).groupBy("_part").count().collect())
+    assert len(sizes) > 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    ranked = rank_objects(df, ["instance_id"], names=["table_name"], part_rows=20_000)
+    names = [r["table_name"] for r in ranked.orderBy("rank_no").collect()]
+    assert names == sorted(names)
+    assert ranked.agg(F.max("rank_no"), F.countDistinct("rank_no")).first() == (ROWS, ROWS)
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_ranks_do_not_depend_on_parts(spark, monkeypatch, most):
+    monkeypatch.setattr(ranking, "_MOST_BROADCAST", most)
+    df = spark.range(0, 3_000, 1, 8).select(
+        F.when(F.col("id") % 11 > 0, F.col("id") % 3).alias("instance_id"),
+        F.when(F.col("id") % 13 > 0, F.pmod(F.xxhash64("id"), F.lit(40)) * 100).alias("total_bytes"),
+        F.when(F.col("id") % 17 > 0, F.md5(F.col("id").cast("string"))).alias("table_name"),
+        "id",
+    )
+    got = [{(r["id"], r["rank_no"]) for r in rank_objects(df, ["instance_id"], names=["table_name", "id"], part_rows=n).collect()} for n in (16, 50_000)]
+    assert got[0] == got[1] and len(got[0]) == 3_000

@@ -9,12 +9,13 @@ import pytest
 from waterline.operators.assets import validate_assets
 from waterline.operators.rollups import document_storage_summary
 from waterline.sources.feeds import read_coll_stats, read_db_stats
-from waterline.model import ASSETS, RELATIONAL_SUMMARY_LINE, TableNames
+from waterline.model import ASSETS, FACTS, RELATIONAL_SUMMARY_LINE, TableNames
 from waterline.operators.ranking import rank_objects
 from waterline.operators.rollups import document_storage_summary, list_ok, run_summary
 from waterline.plans import collect, reports
-from waterline.sources.assets import read_assets, store_assets
+from waterline.sources.assets import StaleAssets, read_assets, read_version, release_claims, store_assets, update_assets
 from waterline.sources.facts import (
+    merge_days,
     append_objects,
     append_snapshot,
     append_snapshot_table,
@@ -234,3 +235,77 @@ def test_cells(spark):
     # A lone minus starts with a sign, so it is marked too.
     assert marked == [(1, "diff_fmt", "+1.00"), (2, "diff_fmt", "-"), (2, "last_status", "failed")]
     assert out.count() == 8
+
+
+def test_interleaved_loads_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "assets")
+    none = spark.createDataFrame([], ASSETS)
+    assert store_assets(none, path) == 1
+
+    def with_one(held, instance):
+        row = spark.createDataFrame([(instance,)], "instance_id bigint")
+        return held.unionByName(row, allowMissingColumns=True)
+
+    # Both start from version 1; the second must not replace what the first stored.
+    base, held = read_version(spark, path)
+    assert store_assets(with_one(held, 7), path, base) == 2
+    with pytest.raises(StaleAssets):
+        store_assets(with_one(held, 8), path, base)
+    assert update_assets(spark, path, lambda x: with_one(x, 8)) == 3
+    assert sorted(r["instance_id"] for r in read_assets(spark, path).collect()) == [7, 8]
+
+    # A load that comes in while another merges.
+    seen = []
+
+    def slow(x):
+        if not seen:
+            seen.append(update_assets(spark, path, lambda y: with_one(y, 9)))
+        return with_one(x, 10)
+
+    assert update_assets(spark, path, slow) == 5 and seen == [4]
+    assert sorted(r["instance_id"] for r in read_assets(spark, path).collect()) == [7, 8, 9, 10]
+
+
+def test_claim_of_a_lost_load(spark, tmp_path):
+    path = str(tmp_path / "assets")
+    none = spark.createDataFrame([], ASSETS)
+    store_assets(none, path)
+    lost = spark.createDataFrame([(2, "gone", True)], "version bigint, folder string, held boolean")
+    lost.write.mode("append").parquet(f"{path}/claims")
+    with pytest.raises(StaleAssets):
+        store_assets(none, path)
+    release_claims(spark, path)
+    assert store_assets(none, path) == 2
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_exported_lines_are_in_order(spark, tmp_path, single):
+    report = spark.range(0, 5_000, 1, 8).select(F.pmod(F.xxhash64("id"), F.lit(700)).alias("size"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = export_tsv(report, str(tmp_path), "ordered", single, [F.desc("size"), F.asc("id")])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted(p for p in os.listdir(path) if p.startswith("part-"))
+    lines = [x.split("\t") for p in parts for x in open(os.path.join(path, p)).read().splitlines()[1:]]
+    got = [(int(a), int(b)) for a, b in lines]
+    assert len(parts) == 1 if single else len(parts) > 1
+    assert got == sorted(((r["size"], r["id"]) for r in report.collect()), key=lambda r: (-r[0], r[1]))
+
+
+def test_days_are_merged_and_repeatable(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.range(0, 600).select(
+        (F.lit("2026-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("stat_time"),
+        (F.col("id") % 7).alias("instance_id"),
+        F.col("id").alias("logical_total_bytes"),
+        F.lit("ok").alias("collect_status"),
+    )
+    full = spark.createDataFrame([], FACTS["mysql_instance"]).unionByName(rows, allowMissingColumns=True)
+    merge_days(full.where("logical_total_bytes < 300"), "mysql_instance", path, ["instance_id"])
+    merge_days(full, "mysql_instance", path, ["instance_id"])
+    once = sorted(map(str, read_snapshots(spark, "mysql_instance", path).collect()))
+    merge_days(full.where("logical_total_bytes between 100 and 200"), "mysql_instance", path, ["instance_id"])
+    merge_days(full.limit(0), "mysql_instance", path, ["instance_id"])
+    assert sorted(map(str, read_snapshots(spark, "mysql_instance", path).collect())) == once
+    assert len(once) == 25 * 7

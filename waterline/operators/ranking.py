@@ -1,8 +1,9 @@
 """Numbering, ordering and top-k.
 
-A place in a sorted group is the count of all rows in better bands plus the place inside the own
-band. Only band counts are ever looked at for a whole group, the rows themselves are spread over
-its bands, so one large group is not sorted in one task.
+A place in a sorted group is the count of all rows in better parts plus the place inside the own
+part. A part is a band, a range of the first sort column, between two splitters: order statistics of a sample
+of the band's full sort keys. Only part counts are ever looked at for a whole group, the rows themselves are
+spread over its parts, so one large group is not sorted in one task, whatever its sizes have in common.
 """
 
 from __future__ import annotations
@@ -15,30 +16,77 @@ from pyspark.sql import functions as F
 from waterline.functions import env_label, env_order, to_gb
 
 _BANDS_PER_DOUBLING = 8
+#: Rows between two splitters, about; sampled keys for each of them, so that parts are of even size.
+PART_ROWS = 50_000
+_OVERSAMPLING = 16
+#: Splitter rows (one for each band that has any) that are broadcast; more are joined by a salted shuffle.
+_MOST_BROADCAST = 200_000
+_SALTS = 16
+
+
+def _splitters(banded: DataFrame, group: Sequence[str], part_rows: int) -> DataFrame:
+    """Bands of more than about part_rows rows, with the keys that cut them, in order.
+
+    Sampled by a hash of the key, so equal keys count once: they share a part anyway. The sample of a band
+    is a small share of its rows, known beforehand.
+    """
+    every = max(1, part_rows // _OVERSAMPLING)
+    sampled = banded.where(F.pmod(F.xxhash64(*group, "_key"), F.lit(every)) == 0)
+    turn = F.row_number().over(Window.partitionBy(*group, "_band").orderBy("_key"))
+    chosen = sampled.select(*group, "_band", "_key").distinct().withColumn("_turn", turn)
+    chosen = chosen.where(F.col("_turn") % _OVERSAMPLING == 0)
+    return chosen.groupBy(*group, "_band").agg(F.array_sort(F.collect_list("_key")).alias("_splitters"))
+
+
+def _with_part(banded: DataFrame, group: Sequence[str], part_rows: int) -> DataFrame:
+    """Rows with `_part`: how many splitters of their band are not behind them."""
+    cuts = _splitters(banded, group, part_rows).select(
+        *[F.col(g).alias(f"_of_{g}") for g in group], F.col("_band").alias("_of_band"), "_splitters"
+    )
+    same = F.col("_band").eqNullSafe(F.col("_of_band"))
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    if cuts.limit(_MOST_BROADCAST + 1).count() <= _MOST_BROADCAST:
+        joined = banded.join(F.broadcast(cuts), same, "left")
+    else:
+        copies = cuts.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        salted = banded.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(_SALTS)).cast("int"))
+        joined = salted.join(copies, same & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy")
+    passed = F.size(F.filter("_splitters", lambda x: x <= F.col("_key")))
+    part = F.when(F.col("_splitters").isNull(), 0).otherwise(passed)
+    return joined.withColumn("_part", part).drop("_splitters", "_of_band", *[f"_of_{g}" for g in group])
 
 
 def _number(
-    df: DataFrame, group: Sequence[str], band: Column, band_order: Column, order: Sequence[Column]
+    df: DataFrame,
+    group: Sequence[str],
+    band: Column,
+    band_order: Column,
+    key: Sequence[Column],
+    part_rows: int,
 ) -> DataFrame:
-    banded = df.withColumn("_band", band)
-    counts = banded.groupBy(*group, "_band").agg(F.count("*").alias("_rows"))
-    better = Window.partitionBy(*group).orderBy(band_order).rowsBetween(
+    """Rows with `_number`, their place in the group by key, ascending."""
+    keyed = df.withColumn("_band", band).withColumn("_key", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)]))
+    dealt = _with_part(keyed, group, part_rows)
+    counts = dealt.groupBy(*group, "_band", "_part").agg(F.count("*").alias("_rows"))
+    better = Window.partitionBy(*group).orderBy(band_order, "_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = counts.select(
         *[F.col(g).alias(f"_of_{g}") for g in group],
         F.col("_band").alias("_of_band"),
+        F.col("_part").alias("_of_part"),
         F.coalesce(F.sum("_rows").over(better), F.lit(0)).alias("_start"),
     )
-    inside = Window.partitionBy(*group, "_band").orderBy(*order)
-    same = F.col("_band") == F.col("_of_band")
+    inside = Window.partitionBy(*group, "_band", "_part").orderBy("_key")
+    same = F.col("_band").eqNullSafe(F.col("_of_band")) & (F.col("_part") == F.col("_of_part"))
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
     return (
-        banded.withColumn("_place", F.row_number().over(inside))
+        dealt.withColumn("_place", F.row_number().over(inside))
         .join(starts, same)
         .withColumn("_number", F.col("_start") + F.col("_place"))
-        .drop("_band", "_place", *starts.columns)
+        .drop("_band", "_key", "_part", "_place", *starts.columns)
     )
 
 
@@ -47,25 +95,27 @@ def rank_objects(
     group: Sequence[str] = ("instance_id", "stat_time"),
     size: str = "total_bytes",
     names: Sequence[str] = ("schema_name", "table_name"),
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Add rank_no, 1 for the largest object of the group; equal sizes are ranked by name.
 
-    Bands are ranges of the size, an eighth of a doubling each, so they follow the order.
+    Bands are ranges of the size, an eighth of a doubling each, so they follow the order; those of more than about
+    part_rows rows are cut further by sampled splitters. Unknown sizes come last.
     """
     band = F.floor(F.log2(F.col(size) + 1) * _BANDS_PER_DOUBLING)
-    order = [F.desc(size), *[F.asc(n) for n in names]]
-    ranked = _number(df, group, band, F.desc("_band"), order)
+    key = [-F.col(size), *[F.col(n) for n in names]]
+    ranked = _number(df, group, band, F.desc_nulls_last("_band"), key, part_rows)
     return ranked.withColumn("rank_no", F.col("_number").cast("int")).drop("_number")
 
 
-def dense_numbers(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def dense_numbers(df: DataFrame, keys: Sequence[str], name: str, part_rows: int = PART_ROWS) -> DataFrame:
     """Number rows 1..n by the digest of their unique keys; the same rows get the same numbers."""
     digest = F.md5(
         F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
     )
     hashed = df.withColumn("_digest", digest)
     band = F.substring("_digest", 1, 2)
-    numbered = _number(hashed, [], band, F.asc("_band"), [F.asc("_digest")])
+    numbered = _number(hashed, [], band, F.asc("_band"), [F.col("_digest")], part_rows)
     return numbered.withColumn(name, F.col("_number")).drop("_digest", "_number")
 
 

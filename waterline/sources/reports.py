@@ -19,16 +19,23 @@ def _plain(field: T.StructField) -> Column:
     return value.alias(field.name)
 
 
-def export_tsv(report: DataFrame, directory: str, name: str, single_file: bool = False) -> str:
+def export_tsv(
+    report: DataFrame, directory: str, name: str, single_file: bool = False, order: Sequence[Column] = ()
+) -> str:
     """Write a report with a header line under `directory/name` and return that path.
 
     The result is a directory of part files. `single_file` writes one part; use it for reports of
-    bounded size only, such as environment summaries and top-k lists.
+    bounded size only, such as environment summaries and top-k lists. `order`: the order of the lines, by
+    columns of the report; the part files in the order of their names then hold the whole report in it.
     """
     path = f"{directory.rstrip('/')}/{name}"
-    rows = report.select(*[_plain(f) for f in report.schema.fields])
+    rows = report
     if single_file:
-        rows = rows.repartition(1)
+        # Blocks of a shuffle come in any order, so the rows are sorted behind it.
+        rows = rows.repartition(1).sortWithinPartitions(*order) if order else rows.repartition(1)
+    elif order:
+        rows = rows.orderBy(*order)
+    rows = rows.select(*[_plain(f) for f in report.schema.fields])
     (
         rows.write.mode("overwrite")
         .option("sep", "\t")
