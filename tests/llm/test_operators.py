@@ -122,7 +122,7 @@ def test_differencing_is_near_equal_and_complete():
     for _ in range(200):
         sizes = [rng.randint(1, 30) for _ in range(rng.randint(0, 40))]
         made = packing.windows(sizes, 30)
-        assert len(made) == -(-sum(sizes) // 30) or 30 * len(made) * (1 - packing.MOST_PADDING) <= sum(sizes)
+        assert len(made) <= max(1, -(-sum(sizes) // 30)) or 30 * len(made) * (1 - packing.MOST_PADDING) <= sum(sizes)
         assert all(sum(x[2] for x in w) <= 30 for w in made)
         held = sorted(x for w in made for x in w)
         assert [sum(x[2] for x in held if x[0] == i) for i in range(len(sizes))] == sizes

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waterline.llm.store import shared_path
-from waterline.llm.tokens import END_BYTES, ChunkEncoder, batched
+from waterline.llm.tokens import CACHE_BYTES, END_BYTES, ChunkEncoder, batched
 
 DICTIONARY_BYTES = 64 * 1024
 #: The dictionary is trained on so many documents of at most so many characters, chosen by a hash of the id.
@@ -44,7 +44,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, docs_used: int = TRAIN_DOC
     share = min(1.0, 2 * docs_used / max(1, short.count()))
     few = hashed.where(F.col("__hash") <= int(share * (2**64 - 1)) - 2**63 if share < 1 else F.lit(True))
     sample = few.orderBy("__hash", "doc_id").limit(docs_used).collect()
-    encoder = ChunkEncoder(tokenizer, keep_space=False)
+    encoder = ChunkEncoder(tokenizer, keep_space=False, cache_bytes=2 * CACHE_BYTES)
     samples = [x + END_BYTES for x in encoder.encode([r["text"] for r in sample])]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
@@ -54,7 +54,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, docs_used: int = TRAIN_DOC
 
 def _ids_writer(tokenizer: str, dictionary: bytes, digest: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer, keep_space=False)
+        encoder = ChunkEncoder(tokenizer, keep_space=False, cache_bytes=2 * CACHE_BYTES)
         packed = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
         shard, block, tokens = TaskContext.get().partitionId(), 0, 0
         keys, lengths, frames, size = [], [], [], 0

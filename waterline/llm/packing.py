@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waterline.llm.bpe import text_slices
-from waterline.llm.tokens import END_BYTES, ChunkEncoder
+from waterline.llm.tokens import CACHE_BYTES, END_BYTES, ChunkEncoder
 
 SEQUENCE_TOKENS = 2048
 #: Windows of a group, the share of them that a group leaves free for imbalance, and the share that may be padding.
@@ -71,12 +71,15 @@ def windows(sizes: list[int], capacity: int, most_padding: float = MOST_PADDING)
     """
     total = sum(sizes)
     ways = max(1, -(-total // capacity))
+    most = max(ways, int(total / ((1 - most_padding) * capacity)))
     while True:
         found = difference(sizes, ways)
         held = [sum(sizes[i] for i in w) for w in found]
-        if max(held, default=0) <= capacity or total < (1 - most_padding) * (ways + 1) * capacity:
+        above = max(held, default=0)
+        if above <= capacity or ways == most:
             break
-        ways += 1
+        # As many more as the largest window exceeds the capacity by.
+        ways = min(most, max(ways + 1, ways * above // capacity))
     pieces = [[(i, 0, sizes[i]) for i in w] for w in found]
     spare = []
     for w, n in zip(pieces, held):
@@ -148,10 +151,12 @@ class _Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(names))
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS, cache_bytes: int = CACHE_BYTES
+) -> DataFrame:
     """Pack the whole texts of (doc_id, text) into sequences of at most so many tokens.
 
-    tokenizer: path of a byte-level vocabulary, the same on every executor. Returns a row per piece: doc_id, start
+    tokenizer: path of a byte-level vocabulary, the same on every executor. cache_bytes: see ChunkEncoder. Returns a row per piece: doc_id, start
     (ids of its document before it), length, doc_tokens (with the end id), sequence_id, offset (in the sequence)
     and ids (bytes, little-endian unsigned 32-bit).
 
@@ -162,7 +167,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE_TOKENS) -> Da
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer, keep_space=True)
+        encoder = ChunkEncoder(tokenizer, keep_space=True, cache_bytes=cache_bytes)
         packer = _Packer(TaskContext.get().partitionId(), capacity)
         for batch in batches:
             for part in text_slices(batch, 1, BATCH_BYTES):
@@ -185,4 +190,4 @@ def op1_pack_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return digest(pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return digest(pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cache_bytes=3 * CACHE_BYTES))

@@ -15,7 +15,7 @@ import unicodedata
 from array import array
 
 #: Bytes of a worker's cache of chunks. A chunk that alone is larger is not kept.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 64 << 20
 
 END_ID = 1
 END_BYTES = END_ID.to_bytes(4, "little")
@@ -81,7 +81,7 @@ class _Chunks(dict):
         else:
             found = self.whole(self.prefix + chunk)
         # Three objects of about 50 bytes each besides their contents.
-        cost = len(chunk.encode()) + len(found) + 150
+        cost = len(chunk) + len(found) + 150
         if self.bytes + cost > self.most_bytes // 2:
             self.older = dict(self)
             self.clear()
