@@ -19,42 +19,46 @@ _BANDS_PER_DOUBLING = 8
 #: Rows between two splitters, about; sampled keys for each of them, so that parts are of even size.
 PART_ROWS = 50_000
 _OVERSAMPLING = 16
-#: Splitter rows (one for each band that has any) that are broadcast; more are joined by a salted shuffle.
+#: Splitters that are broadcast; more are joined by a salted shuffle.
 _MOST_BROADCAST = 200_000
 _SALTS = 16
 
 
 def _splitters(banded: DataFrame, group: Sequence[str], part_rows: int) -> DataFrame:
-    """Bands of more than about part_rows rows, with the keys that cut them, in order.
+    """The parts behind the first of bands of more than about part_rows rows: (group, band, part, from key, up to key).
 
     Sampled by a hash of the key, so equal keys count once: they share a part anyway. The sample of a band
     is a small share of its rows, known beforehand.
     """
     every = max(1, part_rows // _OVERSAMPLING)
     sampled = banded.where(F.pmod(F.xxhash64(*group, "_key"), F.lit(every)) == 0)
-    turn = F.row_number().over(Window.partitionBy(*group, "_band").orderBy("_key"))
-    chosen = sampled.select(*group, "_band", "_key").distinct().withColumn("_turn", turn)
+    by_key = Window.partitionBy(*group, "_band").orderBy("_key")
+    chosen = sampled.select(*group, "_band", "_key").distinct().withColumn("_turn", F.row_number().over(by_key))
     chosen = chosen.where(F.col("_turn") % _OVERSAMPLING == 0)
-    return chosen.groupBy(*group, "_band").agg(F.array_sort(F.collect_list("_key")).alias("_splitters"))
+    return chosen.select(
+        *[F.col(g).alias(f"_of_{g}") for g in group],
+        F.col("_band").alias("_of_band"),
+        (F.col("_turn") / _OVERSAMPLING).cast("int").alias("_part"),
+        F.col("_key").alias("_from"),
+        F.lead("_key").over(by_key).alias("_to"),
+    )
 
 
 def _with_part(banded: DataFrame, group: Sequence[str], part_rows: int) -> DataFrame:
     """Rows with `_part`: how many splitters of their band are not behind them."""
-    cuts = _splitters(banded, group, part_rows).select(
-        *[F.col(g).alias(f"_of_{g}") for g in group], F.col("_band").alias("_of_band"), "_splitters"
-    )
+    parts = _splitters(banded, group, part_rows)
     same = F.col("_band").eqNullSafe(F.col("_of_band"))
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
-    if cuts.limit(_MOST_BROADCAST + 1).count() <= _MOST_BROADCAST:
-        joined = banded.join(F.broadcast(cuts), same, "left")
+    inside = (F.col("_from") <= F.col("_key")) & (F.col("_to").isNull() | (F.col("_key") < F.col("_to")))
+    if parts.limit(_MOST_BROADCAST + 1).count() <= _MOST_BROADCAST:
+        joined = banded.join(F.broadcast(parts), same & inside, "left")
     else:
-        copies = cuts.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        copies = parts.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
         salted = banded.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(_SALTS)).cast("int"))
-        joined = salted.join(copies, same & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy")
-    passed = F.size(F.filter("_splitters", lambda x: x <= F.col("_key")))
-    part = F.when(F.col("_splitters").isNull(), 0).otherwise(passed)
-    return joined.withColumn("_part", part).drop("_splitters", "_of_band", *[f"_of_{g}" for g in group])
+        joined = salted.join(copies, same & inside & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy")
+    joined = joined.withColumn("_part", F.coalesce("_part", F.lit(0)))
+    return joined.drop("_from", "_to", "_of_band", *[f"_of_{g}" for g in group])
 
 
 def _number(
