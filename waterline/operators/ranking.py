@@ -19,8 +19,8 @@ _BANDS_PER_DOUBLING = 8
 #: Rows between two splitters, about; sampled keys for each of them, so that parts are of even size.
 PART_ROWS = 50_000
 _OVERSAMPLING = 16
-#: Splitters that are broadcast; more are joined by a salted shuffle.
-_MOST_BROADCAST = 200_000
+#: Splitters that are read and broadcast (for 10⁹ rows, about); more are joined by a salted shuffle.
+_MOST_BROADCAST = 20_000
 _SALTS = 16
 
 
@@ -51,8 +51,13 @@ def _with_part(banded: DataFrame, group: Sequence[str], part_rows: int) -> DataF
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
     inside = (F.col("_from") <= F.col("_key")) & (F.col("_to").isNull() | (F.col("_key") < F.col("_to")))
-    if parts.limit(_MOST_BROADCAST + 1).count() <= _MOST_BROADCAST:
-        joined = banded.join(F.broadcast(parts), same & inside, "left")
+    # Read once, a bounded number of rows; groups of ordinary size have none.
+    few = parts.limit(_MOST_BROADCAST + 1).collect()
+    if not few:
+        return banded.withColumn("_part", F.lit(0))
+    if len(few) <= _MOST_BROADCAST:
+        known = banded.sparkSession.createDataFrame(few, parts.schema)
+        joined = banded.join(F.broadcast(known), same & inside, "left")
     else:
         copies = parts.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
         salted = banded.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(_SALTS)).cast("int"))
@@ -71,7 +76,7 @@ def _number(
 ) -> DataFrame:
     """Rows with `_number`, their place in the group by key, ascending."""
     keyed = df.withColumn("_band", band).withColumn("_key", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)]))
-    dealt = _with_part(keyed, group, part_rows)
+    dealt = _with_part(keyed, group, part_rows).drop("_key")
     counts = dealt.groupBy(*group, "_band", "_part").agg(F.count("*").alias("_rows"))
     better = Window.partitionBy(*group).orderBy(band_order, "_part").rowsBetween(
         Window.unboundedPreceding, -1
@@ -82,7 +87,7 @@ def _number(
         F.col("_part").alias("_of_part"),
         F.coalesce(F.sum("_rows").over(better), F.lit(0)).alias("_start"),
     )
-    inside = Window.partitionBy(*group, "_band", "_part").orderBy("_key")
+    inside = Window.partitionBy(*group, "_band", "_part").orderBy(*key)
     same = F.col("_band").eqNullSafe(F.col("_of_band")) & (F.col("_part") == F.col("_of_part"))
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
@@ -90,7 +95,7 @@ def _number(
         dealt.withColumn("_place", F.row_number().over(inside))
         .join(starts, same)
         .withColumn("_number", F.col("_start") + F.col("_place"))
-        .drop("_band", "_key", "_part", "_place", *starts.columns)
+        .drop("_band", "_part", "_place", *starts.columns)
     )
 
 
