@@ -6,13 +6,15 @@ whole-partition windows and filtered aggregates instead.
 
 from __future__ import annotations
 
-from checks.queries import GROWTH_FROM, GROWTH_TO, MIN_BYTES, MIN_ROWS, RUN_TS, RUNS
+from checks.queries import GROWTH_FROM, GROWTH_TO, MIN_BYTES, MIN_ROWS, RUN_TS, RUNS, STORED
 from checks.views import with_views
 
 ORACLES: dict[str, str] = {}
+_PARTS: dict[str, tuple[list[str], str]] = {}
 
 
 def oracle(name: str, views: list[str], body: str) -> None:
+    _PARTS[name] = views, body
     ORACLES[name] = with_views(views, body)
 
 
@@ -996,3 +998,7 @@ p AS (SELECT {_TABLE}, stat_time, rank_no FROM ranked JOIN older USING ({_TABLE}
 SELECT {_TABLE}, l.stat_time AS last_stat_time, p.stat_time AS prev_stat_time, l.rank_no AS last_rank_no, p.rank_no AS prev_rank_no,
     {count_text("(l.rank_no - p.rank_no)", "p.rank_no IS NULL")} AS rank_delta_fmt FROM l LEFT JOIN p USING ({_TABLE})""",
 )
+
+# The same reports on stored facts, whose snapshots are monthly runs.
+for _name, _like in STORED.items():
+    ORACLES[_name] = with_views(*_PARTS[_like], monthly=True)

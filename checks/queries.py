@@ -27,6 +27,7 @@ from waterline.functions import (
 )
 from waterline.model import (
     DATE_COLUMN,
+    FACTS,
     OBJECT_SYSTEM_SCHEMAS,
     RELATIONAL_OBJECT_LINE,
     SUMMARY_SYSTEM_SCHEMAS,
@@ -95,6 +96,7 @@ from waterline.sources.feeds import (
     read_db_stats,
     read_table_stats,
 )
+from waterline.sources.pointers import append_with_pointers, read_pointers
 from waterline.sources.reports import export_tsv, report_cells
 from waterline.sources import scratch
 
@@ -777,3 +779,105 @@ _report(
 @query("d9_rank_delta")
 def _(spark, sf_dir):
     return trends.rank_delta(_ranked_runs(_monthly(view(spark, sf_dir, "obj"))))
+
+
+# Reports on facts stored by day, with pointers kept from run to run
+
+# Query, and the one that gives the same rows from a view.
+STORED: dict[str, str] = {}
+_UNKNOWN = {"engine": "InnoDB", "rank_no": 0, "mysql_version": "8.0", "error_msg": None}
+
+
+# Folders of facts and pointers, stored once in a session.
+_FOLDERS: dict[tuple[str, ...], tuple[str, str]] = {}
+
+
+def _store_runs(spark: SparkSession, sf_dir: str, kind: str, name: str) -> tuple[str, str]:
+    """Monthly runs of a view, its older half coming late; columns it lacks are filled."""
+    path, pointers = scratch_path(spark, "facts"), scratch_path(spark, "pointers")
+    runs = _monthly(view(spark, sf_dir, name))
+    missing = {f.name: F.lit(_UNKNOWN.get(f.name, 0)) for f in FACTS[kind] if f.name not in runs.columns}
+    runs, late = runs.withColumns(missing), F.col("stat_time") < "1995-06-01"
+    for part in (runs.where(~late), runs.where(late)):
+        append_with_pointers(part, kind, path, pointers)
+    return path, pointers
+
+
+def _kept(spark: SparkSession, sf_dir: str, kind: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Stored runs of a view and their pointers."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind, name)
+    if key not in _FOLDERS:
+        _FOLDERS[key] = _store_runs(spark, sf_dir, kind, name)
+    path, pointers = _FOLDERS[key]
+    return read_snapshots(spark, kind, path), read_pointers(spark, kind, pointers)
+
+
+def stored_query(name: str, like: str) -> Callable[[Query], Query]:
+    STORED[name] = like
+    return query(name)
+
+
+@stored_query("j1_stored_latest", "j1_latest_ties")
+def _(spark, sf_dir):
+    facts, pointers = _kept(spark, sf_dir, "mysql_instance", "snap")
+    return latest(facts, ["instance_id"], pointers=pointers).select(
+        "instance_id", "stat_time", "logical_total_bytes", "collect_status"
+    )
+
+
+@stored_query("j5_stored_object_latest", "j5_object_latest")
+def _(spark, sf_dir):
+    facts, pointers = _kept(spark, sf_dir, "mysql_object", "obj")
+    return latest(facts, reports.TABLE, pointers=pointers).drop("engine", "rank_no", DATE_COLUMN)
+
+
+@stored_query("j6_stored_object_prev", "j6_object_prev")
+def _(spark, sf_dir):
+    facts, pointers = _kept(spark, sf_dir, "mysql_object", "obj")
+    return last_vs_prev(facts, reports.TABLE, ["table_rows", "total_bytes"], pointers=pointers)
+
+
+@stored_query("r3_stored_instance_diff", "r3_instance_diff")
+def _(spark, sf_dir):
+    facts, pointers = _kept(spark, sf_dir, "mysql_instance", "snap")
+    return reports.r3(view(spark, sf_dir, "asset"), facts, kept=reports.Pointers(pointers))
+
+
+def _object_report(spark: SparkSession, sf_dir: str, report: Callable[..., DataFrame]) -> DataFrame:
+    instances, runs = _kept(spark, sf_dir, "mysql_instance", "snap_obj")
+    objects, tables = _kept(spark, sf_dir, "mysql_object", "obj")
+    assets = view(spark, sf_dir, "asset_obj")
+    return report(assets, instances, objects, kept=reports.Pointers(runs, tables))
+
+
+@stored_query("r4_stored_object_latest", "r4_object_latest")
+def _(spark, sf_dir):
+    return _object_report(spark, sf_dir, reports.r4)
+
+
+@stored_query("r5_stored_object_diff_rows", "r5_object_diff_rows")
+def _(spark, sf_dir):
+    return _object_report(spark, sf_dir, reports.r5)
+
+
+@stored_query("r5_stored_object_diff_wide", "r5_object_diff_wide")
+def _(spark, sf_dir):
+    return _object_report(spark, sf_dir, reports.r5_wide)
+
+
+@stored_query("r9_stored_doc_top50", "r9_doc_top50")
+def _(spark, sf_dir):
+    objects, pointers = _kept(spark, sf_dir, "mongo_object", "coll")
+    return reports.r9(view(spark, sf_dir, "asset_obj"), objects, kept=reports.Pointers(objects=pointers))
+
+
+@stored_query("d5_stored_schema_top5", "d5_schema_top5")
+def _(spark, sf_dir):
+    objects, pointers = _kept(spark, sf_dir, "mysql_object", "obj")
+    return trends.schema_top(objects, 5, pointers=pointers)
+
+
+@stored_query("d6_stored_table_diff_top10", "d6_table_diff_top10")
+def _(spark, sf_dir):
+    objects, pointers = _kept(spark, sf_dir, "mysql_object", "obj")
+    return trends.table_top(objects, 10, by="diff", pointers=pointers)

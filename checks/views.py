@@ -240,10 +240,20 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(DOCUMENTS[name].format(**flat))
 
 
-def with_views(names: list[str], body: str) -> str:
-    """SQL for the checking database: the named views as common table expressions, then `body`."""
+def with_views(names: list[str], body: str, monthly: bool = False) -> str:
+    """SQL for the checking database: the named views as common table expressions, then `body`.
+
+    monthly: the snapshots among them as runs of whole months.
+    """
     tables = {t: t for t in BASE_TABLES}
-    parts = [f"{name} AS ({SHARED[name].format(**tables)})" for name in names]
+    texts = {name: SHARED[name].format(**tables) for name in names}
+    if monthly:
+        month = "date_trunc('month', stat_time)::TIMESTAMP AS stat_time"
+        texts = {
+            name: f"SELECT * REPLACE ({month}) FROM ({text})" if "AS stat_time" in text else text
+            for name, text in texts.items()
+        }
+    parts = [f"{name} AS ({text})" for name, text in texts.items()]
     # A body may go on with its own table expressions after a leading comma.
     return f"WITH {', '.join(parts)}{body}" if body.startswith(",") else (
         f"WITH {', '.join(parts)} {body}"

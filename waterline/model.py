@@ -105,6 +105,17 @@ FACTS = {
     "mongo_object": DOCUMENT_OBJECTS,
 }
 
+# What identifies an entity of each fact.
+ENTITY_KEYS = {
+    "mysql_instance": ("instance_id",),
+    "mysql_object": ("instance_id", "schema_name", "table_name"),
+    "mongo_instance": ("instance_id",),
+    "mongo_object": ("instance_id", "db_name", "coll_name"),
+}
+
+# Times that a pointer table keeps of each entity, beside its keys.
+POINTER_TIMES = ("newest_time", "last_time", "prev_time")
+
 TABLE_STATS = _schema(
     ("instance_id", _long, False),
     ("table_schema", _string, False),

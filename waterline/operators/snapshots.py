@@ -13,6 +13,9 @@ and stored facts are read from the day partitions that hold a wanted time only.
 are too many for that, the distinct days of the wanted times still are few (one row per stored day),
 so they are broadcast instead: the rest of the history is neither read at full width nor shuffled.
 
+Where the caller keeps `pointers` (see operators.pointers) the first step is reading them: no history
+is scanned for its times, and of facts stored by day only the days that hold a wanted time are read.
+
 Rows that share an entity's latest time are all kept, and pair with all rows at its previous time.
 """
 
@@ -77,11 +80,20 @@ def last_time(df: DataFrame, keys: Sequence[str], ts: str = "stat_time") -> Data
     return df.groupBy(*keys).agg(F.max(ts).alias(ts))
 
 
+def _pointed(pointers: DataFrame, keys: Sequence[str], column: str, ts: str) -> DataFrame:
+    return pointers.where(F.col(column).isNotNull()).select(*keys, F.col(column).alias(ts))
+
+
 def latest(
-    df: DataFrame, keys: Sequence[str], ts: str = "stat_time", few: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str = "stat_time",
+    few: bool = False,
+    pointers: DataFrame | None = None,
 ) -> DataFrame:
     """All rows at the newest time of their entity."""
-    return _rows_at(df, last_time(df, keys, ts), keys, ts, few)
+    times = last_time(df, keys, ts) if pointers is None else _pointed(pointers, keys, "newest_time", ts)
+    return _rows_at(df, times, keys, ts, few)
 
 
 def latest_ok(
@@ -90,9 +102,10 @@ def latest_ok(
     ts: str = "stat_time",
     status: str = "collect_status",
     few: bool = False,
+    pointers: DataFrame | None = None,
 ) -> DataFrame:
     """Latest rows that succeeded; an entity whose newest run failed is absent."""
-    return latest(df, keys, ts, few).where(is_ok(F.col(status)))
+    return latest(df, keys, ts, few, pointers).where(is_ok(F.col(status)))
 
 
 def recent_times(
@@ -104,6 +117,21 @@ def recent_times(
     return times.withColumn("age", F.row_number().over(newest_first)).where(F.col("age") <= count)
 
 
+def _two_newest(
+    df: DataFrame, usable: DataFrame, keys: Sequence[str], ts: str, gated: bool, few: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Latest and previous times of each entity, found in its history."""
+    times = recent_times(usable, keys, ts)
+    # age is 1 or 2. Testing its parity leaves the `age <= 2` limit alone in both branches, so
+    # they share one shuffle instead of planning two different ones.
+    newest = F.col("age") % 2 == 1
+    last_times, prev_times = times.where(newest), times.where(~newest)
+    if gated:
+        newest_times = broadcast_if(few, last_time(df, keys, ts))
+        last_times = last_times.join(newest_times, [*keys, ts], "left_semi")
+    return last_times, prev_times
+
+
 def last_vs_prev(
     df: DataFrame,
     keys: Sequence[str],
@@ -111,26 +139,27 @@ def last_vs_prev(
     ts: str = "stat_time",
     ok: Column | None = None,
     few: bool = False,
+    pointers: DataFrame | None = None,
 ) -> DataFrame:
     """Latest rows of each entity beside its previous ones.
 
     Gives the keys, last_/prev_ times and last_/prev_ measures; the prev_ columns are NULL where
     there is no previous snapshot. With `ok`, an entity counts only if its newest time has a row
     that satisfies it, and the previous time is the newest older one with such a row; every row
-    at that previous time takes part, whether it satisfies `ok` or not.
+    at that previous time takes part, whether it satisfies `ok` or not. `pointers` must have been
+    made of the same rows with the same `ok`.
 
     The input is read several times (times, last rows, previous rows): give it stored facts, not a
     frame that is costly to compute.
     """
     usable = df if ok is None else df.where(ok)
-    times = recent_times(usable, keys, ts)
-    # age is 1 or 2. Testing its parity leaves the `age <= 2` limit alone in both branches, so
-    # they share one shuffle instead of planning two different ones.
-    newest = F.col("age") % 2 == 1
-    last_times, prev_times = times.where(newest), times.where(~newest)
-    if ok is not None:
-        newest_times = broadcast_if(few, last_time(df, keys, ts))
-        last_times = last_times.join(newest_times, [*keys, ts], "left_semi")
+    if pointers is None:
+        last_times, prev_times = _two_newest(df, usable, keys, ts, ok is not None, few)
+    else:
+        # Where newest_time is later than last_time, the newest rows do not count.
+        current = pointers.where(F.col("newest_time") == F.col("last_time"))
+        last_times = _pointed(current, keys, "last_time", ts)
+        prev_times = _pointed(current, keys, "prev_time", ts)
     last = _rows_at(usable, last_times, keys, ts, few)
     prev = _rows_at(df, prev_times, keys, ts, few)
     return _named(last, keys, [ts, *measures], "last").join(
@@ -144,14 +173,18 @@ def _repeat(df: DataFrame, copies: str) -> DataFrame:
 
 
 def gate_latest_ok(
-    df: DataFrame, instances: DataFrame, distinct: bool = False, few: bool = False
+    df: DataFrame,
+    instances: DataFrame,
+    distinct: bool = False,
+    few: bool = False,
+    pointers: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of instances whose newest run succeeded.
 
     An instance with several successful rows at its newest time yields its rows that many times;
     `distinct=True` yields them once.
     """
-    passed = latest_ok(instances, few=few).groupBy("instance_id").agg(F.count("*").alias("_runs"))
+    passed = latest_ok(instances, few=few, pointers=pointers).groupBy("instance_id").agg(F.count("*").alias("_runs"))
     if distinct:
         return df.join(broadcast_if(few, passed), "instance_id", "left_semi")
     return _repeat(df.join(broadcast_if(few, passed), "instance_id"), "_runs")
@@ -165,14 +198,15 @@ def aligned_last_vs_prev(
     ts: str = "stat_time",
     status: str = "collect_status",
     few: bool = False,
+    pointers: DataFrame | None = None,
 ) -> DataFrame:
     """Objects seen in their instance's latest good run, beside the same objects in its previous one.
 
     Objects are anchored on the instance's times: one missing from the latest run is absent.
-    Runs repeated at one time repeat their objects.
+    Runs repeated at one time repeat their objects. `pointers` are those of the instances.
     """
     last_ts, prev_ts = f"last_{ts}", f"prev_{ts}"
-    pairs = last_vs_prev(instances, ["instance_id"], [], ts, is_ok(F.col(status)), few)
+    pairs = last_vs_prev(instances, ["instance_id"], [], ts, is_ok(F.col(status)), few, pointers)
     # One row per instance.
     runs = pairs.groupBy("instance_id", last_ts, prev_ts).agg(F.count("*").alias("_pairs"))
     object_key = ["instance_id", *object_keys]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,20 @@ COLLECTION = ("instance_id", "db_name", "coll_name")
 _ASSET_COLUMNS = ("env", "alias_name", "instance_name", "host", "port")
 
 
+class Pointers(NamedTuple):
+    """Kept pointers of the facts that a report reads (operators.pointers); None: found in the history."""
+
+    instances: DataFrame | None = None
+    objects: DataFrame | None = None
+
+    def of_assets(self, assets: DataFrame, few: bool) -> Pointers:
+        """Those of the given assets."""
+        return Pointers(*[p if p is None else of_assets(p, assets, few) for p in self])
+
+
+NOT_KEPT = Pointers()
+
+
 def with_asset(df: DataFrame, assets: DataFrame, few: bool = False) -> DataFrame:
     """Add the asset's labels; rows of unknown instances are dropped."""
     labels = assets.select("instance_id", *_ASSET_COLUMNS)
@@ -72,21 +88,24 @@ def _sizes(measure: str, shown: str, missing: Column | None = None) -> list[Colu
     ]
 
 
-def newest_runs(assets: DataFrame, instances: DataFrame) -> DataFrame:
+def newest_runs(assets: DataFrame, instances: DataFrame, kept: Pointers = NOT_KEPT) -> DataFrame:
     """Latest snapshots of the assets with their labels."""
     few = is_small(assets)
-    newest = latest(of_assets(instances, assets, few), INSTANCE, few=few)
+    times = kept.of_assets(assets, few).instances
+    newest = latest(of_assets(instances, assets, few), INSTANCE, few=few, pointers=times)
     return with_asset(newest, assets, few)
 
 
 def _instances_last_vs_prev(
-    assets: DataFrame, instances: DataFrame, *measures: str
+    assets: DataFrame, instances: DataFrame, *measures: str, kept: Pointers = NOT_KEPT
 ) -> DataFrame:
     """Latest and previous snapshots of the assets with their labels."""
     few = is_small(assets)
     known = of_assets(instances, assets, few)
+    times = kept.of_assets(assets, few).instances
     ok = is_ok(F.col("collect_status"))
-    return with_asset(last_vs_prev(known, INSTANCE, measures, ok=ok, few=few), assets, few)
+    compared = last_vs_prev(known, INSTANCE, measures, ok=ok, few=few, pointers=times)
+    return with_asset(compared, assets, few)
 
 
 def _settled(rows: DataFrame) -> DataFrame:
@@ -100,9 +119,9 @@ def _settled(rows: DataFrame) -> DataFrame:
 # Relational instances and tables
 
 
-def r1(assets: DataFrame, instances: DataFrame) -> DataFrame:
+def r1(assets: DataFrame, instances: DataFrame, kept: Pointers = NOT_KEPT) -> DataFrame:
     """Instances whose latest snapshot failed. Assets of any type count."""
-    failed = with_status(newest_runs(filter_assets(assets), instances), STATUS_FAILED)
+    failed = with_status(newest_runs(filter_assets(assets), instances, kept), STATUS_FAILED)
     return _settled(failed).orderBy(*order_failed()).select(
         _env(),
         "alias_name",
@@ -117,9 +136,9 @@ def r1(assets: DataFrame, instances: DataFrame) -> DataFrame:
     )
 
 
-def r2(assets: DataFrame, instances: DataFrame) -> DataFrame:
+def r2(assets: DataFrame, instances: DataFrame, kept: Pointers = NOT_KEPT) -> DataFrame:
     """Environment summary, latest against previous."""
-    compared = _instances_last_vs_prev(_relational(assets), instances, "logical_total_bytes")
+    compared = _instances_last_vs_prev(_relational(assets), instances, "logical_total_bytes", kept=kept)
     envs = env_rollup_diff(compared)
     change = fmt_signed_gb(F.col("diff_bytes"), F.col("compared_count") == 0)
     return envs.orderBy(*order_env_diff("diff_bytes", "last_bytes")).select(
@@ -132,11 +151,15 @@ def r2(assets: DataFrame, instances: DataFrame) -> DataFrame:
 
 
 def r3(
-    assets: DataFrame, instances: DataFrame, endpoint: bool = False, order: str = "size"
+    assets: DataFrame,
+    instances: DataFrame,
+    endpoint: bool = False,
+    order: str = "size",
+    kept: Pointers = NOT_KEPT,
 ) -> DataFrame:
     """Instances, latest against previous. `order` is 'size' or 'abs_diff'."""
     measures = ("logical_data_bytes", "logical_index_bytes", "logical_total_bytes")
-    compared = _instances_last_vs_prev(_relational(assets), instances, *measures)
+    compared = _instances_last_vs_prev(_relational(assets), instances, *measures, kept=kept)
     names = ("instance_name", "instance_id")
     by_change = order_abs_diff("last_logical_total_bytes", "prev_logical_total_bytes", *names)
     by_size = order_by_size("last_logical_total_bytes", *names)
@@ -158,21 +181,25 @@ def r3(
 
 
 def _gated(
-    objects: DataFrame, reported: DataFrame, instances: DataFrame, few: bool
+    objects: DataFrame, reported: DataFrame, instances: DataFrame, few: bool, kept: Pointers
 ) -> DataFrame:
     """Objects of instances whose newest run succeeded, with their labels."""
     runs = of_assets(instances, reported, few)
-    return with_asset(gate_latest_ok(objects, runs, few=few), reported, few)
+    passed = gate_latest_ok(objects, runs, few=few, pointers=kept.instances)
+    return with_asset(passed, reported, few)
 
 
-def r4(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame:
+def r4(
+    assets: DataFrame, instances: DataFrame, objects: DataFrame, kept: Pointers = NOT_KEPT
+) -> DataFrame:
     """Tables at their own latest snapshot, of instances whose latest run succeeded."""
     reported = _relational(assets)
     few = is_small(reported)
-    current = latest(of_assets(objects, reported, few), TABLE)
+    kept = kept.of_assets(reported, few)
+    current = latest(of_assets(objects, reported, few), TABLE, pointers=kept.objects)
     names = ("alias_name", "instance_name", "schema_name", "table_name", "instance_id")
     return (
-        _gated(current, reported, instances, few)
+        _gated(current, reported, instances, few, kept)
         .orderBy(*order_objects("total_bytes", *names))
         .select(
             _env(),
@@ -190,17 +217,20 @@ def r4(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame
 
 
 def _tables_last_vs_prev(
-    assets: DataFrame, instances: DataFrame, objects: DataFrame, *measures: str
+    assets: DataFrame, instances: DataFrame, objects: DataFrame, kept: Pointers, *measures: str
 ) -> DataFrame:
     reported = _relational(assets)
     few = is_small(reported)
-    compared = last_vs_prev(of_assets(objects, reported, few), TABLE, measures)
-    return _gated(compared, reported, instances, few)
+    kept = kept.of_assets(reported, few)
+    compared = last_vs_prev(of_assets(objects, reported, few), TABLE, measures, pointers=kept.objects)
+    return _gated(compared, reported, instances, few, kept)
 
 
-def r5(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame:
+def r5(
+    assets: DataFrame, instances: DataFrame, objects: DataFrame, kept: Pointers = NOT_KEPT
+) -> DataFrame:
     """Tables, latest against previous, largest change of the row count first."""
-    compared = _tables_last_vs_prev(assets, instances, objects, "table_rows", "total_bytes")
+    compared = _tables_last_vs_prev(assets, instances, objects, kept, "table_rows", "total_bytes")
     names = ("alias_name", "instance_name", "schema_name", "table_name", "instance_id")
     last, prev = F.col("last_total_bytes"), F.col("prev_total_bytes")
     rows, prev_rows = F.col("last_table_rows"), F.col("prev_table_rows")
@@ -220,9 +250,11 @@ def r5(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame
     )
 
 
-def r5_bytes(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame:
+def r5_bytes(
+    assets: DataFrame, instances: DataFrame, objects: DataFrame, kept: Pointers = NOT_KEPT
+) -> DataFrame:
     """Tables, latest against previous, largest change of the size first."""
-    compared = _tables_last_vs_prev(assets, instances, objects, "table_rows", "total_bytes")
+    compared = _tables_last_vs_prev(assets, instances, objects, kept, "table_rows", "total_bytes")
     names = ("alias_name", "instance_name", "schema_name", "table_name", "instance_id")
     last, prev = F.col("last_total_bytes"), F.col("prev_total_bytes")
     rows, prev_rows = F.col("last_table_rows"), F.col("prev_table_rows")
@@ -243,10 +275,12 @@ def r5_bytes(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> Dat
     )
 
 
-def r5_wide(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> DataFrame:
+def r5_wide(
+    assets: DataFrame, instances: DataFrame, objects: DataFrame, kept: Pointers = NOT_KEPT
+) -> DataFrame:
     """Tables with the changes of all sizes, largest table first."""
     compared = _tables_last_vs_prev(
-        assets, instances, objects, "table_rows", "data_bytes", "index_bytes", "total_bytes"
+        assets, instances, objects, kept, "table_rows", "data_bytes", "index_bytes", "total_bytes"
     )
     names = ("alias_name", "schema_name", "table_name", "instance_id")
     rows, prev_rows = F.col("last_table_rows"), F.col("prev_table_rows")
@@ -271,10 +305,13 @@ def r5_wide(assets: DataFrame, instances: DataFrame, objects: DataFrame) -> Data
 
 
 def r6(
-    assets: DataFrame, instances: DataFrame, status: str | None = STATUS_FAILED
+    assets: DataFrame,
+    instances: DataFrame,
+    status: str | None = STATUS_FAILED,
+    kept: Pointers = NOT_KEPT,
 ) -> DataFrame:
     """Latest snapshots of document instances, failed ones by default; status=None gives all."""
-    newest = newest_runs(_document(assets), instances)
+    newest = newest_runs(_document(assets), instances, kept)
     if status is not None:
         newest = with_status(newest, status)
     return _settled(newest).orderBy(*order_failed()).select(
@@ -290,9 +327,9 @@ def r6(
     )
 
 
-def r7(assets: DataFrame, instances: DataFrame) -> DataFrame:
+def r7(assets: DataFrame, instances: DataFrame, kept: Pointers = NOT_KEPT) -> DataFrame:
     """Environment summary of document instances; failed latest snapshots count too."""
-    envs = env_rollup(newest_runs(_document(assets), instances))
+    envs = env_rollup(newest_runs(_document(assets), instances, kept))
     return envs.orderBy(*order_by_size("logical_bytes")).select(
         "env",
         "instance_count",
@@ -301,10 +338,12 @@ def r7(assets: DataFrame, instances: DataFrame) -> DataFrame:
     )
 
 
-def r8(assets: DataFrame, instances: DataFrame, endpoint: bool = False) -> DataFrame:
+def r8(
+    assets: DataFrame, instances: DataFrame, endpoint: bool = False, kept: Pointers = NOT_KEPT
+) -> DataFrame:
     """Document instances, latest against previous."""
     measures = ("logical_total_bytes", "physical_total_bytes")
-    compared = _instances_last_vs_prev(_document(assets), instances, *measures)
+    compared = _instances_last_vs_prev(_document(assets), instances, *measures, kept=kept)
     no_prev = F.col("prev_stat_time").isNull()
     order = order_by_size("last_logical_total_bytes", "instance_name", "instance_id")
     return compared.orderBy(*order).select(
@@ -319,11 +358,15 @@ def r8(assets: DataFrame, instances: DataFrame, endpoint: bool = False) -> DataF
     )
 
 
-def r9(assets: DataFrame, objects: DataFrame, k: int = 50) -> DataFrame:
+def r9(
+    assets: DataFrame, objects: DataFrame, k: int = 50, kept: Pointers = NOT_KEPT
+) -> DataFrame:
     """Largest collections at their own latest snapshot."""
     reported = _document(assets)
     few = is_small(reported)
-    current = with_asset(latest(of_assets(objects, reported, few), COLLECTION), reported, few)
+    times = kept.of_assets(reported, few).objects
+    newest = latest(of_assets(objects, reported, few), COLLECTION, pointers=times)
+    current = with_asset(newest, reported, few)
     order = [
         to_gb(F.col("logical_total_bytes")).desc(),
         *[F.asc(c) for c in COLLECTION],
@@ -353,13 +396,14 @@ _COLLECTION_MEASURES = (
 
 
 def _collections_last_vs_prev(
-    assets: DataFrame, instances: DataFrame, objects: DataFrame, k: int
+    assets: DataFrame, instances: DataFrame, objects: DataFrame, k: int, kept: Pointers
 ) -> DataFrame:
     reported = _document(assets)
     few = is_small(reported)
     runs = of_assets(instances, reported, few)
+    times = kept.of_assets(reported, few).instances
     compared = aligned_last_vs_prev(
-        runs, objects, COLLECTION[1:], _COLLECTION_MEASURES, few=few
+        runs, objects, COLLECTION[1:], _COLLECTION_MEASURES, few=few, pointers=times
     )
     joined = with_asset(compared, reported, few)
     names = ("alias_name", "instance_name", "db_name", "coll_name", "instance_id")
@@ -369,10 +413,14 @@ def _collections_last_vs_prev(
 
 
 def r10(
-    assets: DataFrame, instances: DataFrame, objects: DataFrame, k: int = 10
+    assets: DataFrame,
+    instances: DataFrame,
+    objects: DataFrame,
+    k: int = 10,
+    kept: Pointers = NOT_KEPT,
 ) -> DataFrame:
     """Collections of the latest run against the previous run, largest change of documents."""
-    top = _collections_last_vs_prev(assets, instances, objects, k)
+    top = _collections_last_vs_prev(assets, instances, objects, k, kept)
     no_prev = F.col("prev_doc_count").isNull()
     sizes = [
         column
@@ -397,10 +445,14 @@ def r10(
 
 
 def r10_wide(
-    assets: DataFrame, instances: DataFrame, objects: DataFrame, k: int = 10
+    assets: DataFrame,
+    instances: DataFrame,
+    objects: DataFrame,
+    k: int = 10,
+    kept: Pointers = NOT_KEPT,
 ) -> DataFrame:
     """Same rows with the changes of every size."""
-    top = _collections_last_vs_prev(assets, instances, objects, k)
+    top = _collections_last_vs_prev(assets, instances, objects, k, kept)
     no_prev = F.col("prev_doc_count").isNull()
     docs, prev_docs = F.col("last_doc_count"), F.col("prev_doc_count")
     return top.select(

@@ -128,9 +128,11 @@ def schema_top(
     keys: Sequence[str] = TABLE,
     schema: str = "schema_name",
     size: str = "total_bytes",
+    pointers: DataFrame | None = None,
 ) -> DataFrame:
     """Largest schemas of each instance, from the latest snapshot of each of their tables."""
-    sizes = latest(objects, keys).groupBy("instance_id", schema).agg(F.sum(size).alias(size))
+    current = latest(objects, keys, pointers=pointers)
+    sizes = current.groupBy("instance_id", schema).agg(F.sum(size).alias(size))
     return top_k_per_group(sizes, INSTANCE, [F.desc(size), F.asc(schema)], k)
 
 
@@ -140,14 +142,15 @@ def table_top(
     by: str = "size",
     keys: Sequence[str] = TABLE,
     size: str = "total_bytes",
+    pointers: DataFrame | None = None,
 ) -> DataFrame:
     """Largest tables of each instance, or with by='diff' those whose size changed most."""
     names = [F.asc(c) for c in keys[1:]]
     if by == "size":
-        current = latest(objects, keys).select(*keys, "stat_time", size)
+        current = latest(objects, keys, pointers=pointers).select(*keys, "stat_time", size)
         return top_k_per_group(current, INSTANCE, [F.desc(size), *names], k)
     last, prev = f"last_{size}", f"prev_{size}"
-    compared = last_vs_prev(objects, keys, [size])
+    compared = last_vs_prev(objects, keys, [size], pointers=pointers)
     change = F.coalesce(F.abs(F.col(last) - F.col(prev)), F.lit(0))
     order = [change.desc(), *names, F.desc(last), F.desc(prev)]
     ranked = top_k_per_group(compared, INSTANCE, order, k)

@@ -1,44 +1,18 @@
-"""The stored asset table: whole versions, of which the newest published one counts.
-
-A load reads the version that its result replaces, so it never overwrites files that it reads. A new version is written
-first and then published by one row; readers see the old table until then, and a lost load leaves only files that
-nothing names.
-
-A load claims its version before it publishes, and then looks at all claims: of loads that start from the same version
-at most one publishes, the others are refused and can merge again with what was stored meanwhile.
-"""
+"""The stored asset table, in versions. A load reads the version that its result replaces (see sources.versions)."""
 
 from __future__ import annotations
 
-import random
-import time
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from waterline.model import ASSETS
+from waterline.sources import versions
+from waterline.sources.versions import StaleVersion as StaleAssets
+from waterline.sources.versions import release_claims
 
-_PUBLISHED = "version bigint, folder string"
-_CLAIMS = "version bigint, folder string, held boolean"
-
-
-def _newest(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """Number and folder of the version that counts; none where nothing was published."""
-    try:
-        published = spark.read.schema(_PUBLISHED).parquet(f"{path}/published")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    newest = published.agg(F.max(F.struct("version", "folder")).alias("newest")).first()["newest"]
-    return newest and (newest["version"], newest["folder"])
-
-
-class StaleAssets(RuntimeError):
-    """Another load has stored, or is storing, a version since the one that a result was made from."""
+__all__ = ["StaleAssets", "read_assets", "read_version", "release_claims", "store_assets", "update_assets"]
 
 
 def read_assets(spark: SparkSession, path: str) -> DataFrame:
@@ -48,72 +22,15 @@ def read_assets(spark: SparkSession, path: str) -> DataFrame:
 
 def read_version(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
     """Number and rows of the asset table as last stored; 0 before the first load."""
-    newest = _newest(spark, path)
-    if newest is None:
-        return 0, spark.createDataFrame([], ASSETS)
-    return newest[0], spark.read.schema(ASSETS).parquet(f"{path}/{newest[1]}")
-
-
-def _claims(spark: SparkSession, path: str) -> set[tuple[int, str]]:
-    """Claims that were not given back, of the newest version on: a row for each load under way."""
-    try:
-        claims = spark.read.schema(_CLAIMS).parquet(f"{path}/claims")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
-    newest = _newest(spark, path)
-    open_claims = claims.where(F.col("version") > (newest[0] if newest else 0))
-    held = open_claims.groupBy("version", "folder").agg(F.bool_and("held").alias("held")).where("held")
-    return {(r["version"], r["folder"]) for r in held.collect()}
-
-
-def _mark(spark: SparkSession, path: str, version: int, folder: str, held: bool) -> None:
-    row = spark.createDataFrame([(version, folder, held)], _CLAIMS).coalesce(1)
-    row.write.mode("append").parquet(f"{path}/claims")
-
-
-def release_claims(spark: SparkSession, path: str) -> None:
-    """Gives back the claims of loads that were lost before they published. Not while a load runs."""
-    for version, folder in _claims(spark, path):
-        _mark(spark, path, version, folder, held=False)
+    return versions.read_version(spark, path, ASSETS)
 
 
 def store_assets(assets: DataFrame, path: str, base: int | None = None) -> int:
-    """Store a whole asset table as the next version and publish it; gives its number. Older versions stay.
-
-    base: the version that the table was made from, by default the newest. StaleAssets if that is not the newest any more
-    or another load from it is under way; of two that start together one or both are refused.
-    """
-    spark = assets.sparkSession
-    newest = _newest(spark, path)
-    current = newest[0] if newest else 0
-    base = current if base is None else base
-    if base != current:
-        raise StaleAssets(f"version {current} was stored since version {base}")
-    version = base + 1
-    folder = f"version-{version:08d}-{uuid.uuid4().hex}"
+    """Store a whole asset table as the next version; StaleAssets where another load came between."""
     stored = assets.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ASSETS.fields])
-    stored.write.parquet(f"{path}/{folder}")
-    _mark(spark, path, version, folder, held=True)
-    now = _newest(spark, path)
-    if (now[0] if now else 0) != base or _claims(spark, path) != {(version, folder)}:
-        _mark(spark, path, version, folder, held=False)
-        raise StaleAssets(f"another load from version {base} is under way")
-    row = spark.createDataFrame([(version, folder)], _PUBLISHED).coalesce(1)
-    row.write.mode("append").parquet(f"{path}/published")
-    return version
+    return versions.store_version(stored, path, base)
 
 
 def update_assets(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame], tries: int = 3) -> int:
     """Store what `merge` makes of the newest version, merged again where another load came between."""
-    for left in reversed(range(tries)):
-        base, held = read_version(spark, path)
-        try:
-            return store_assets(merge(held), path, base)
-        except StaleAssets:
-            if not left:
-                raise
-            # Loads that refused each other must not meet again.
-            time.sleep(random.uniform(0, 2 ** (tries - left)))
-    raise ValueError("tries must be at least one")
+    return versions.update_version(spark, path, ASSETS, merge, tries)
