@@ -464,6 +464,25 @@ oracle(
     """SELECT stat_time, instance_id, schema_name, table_name, 'InnoDB' AS engine, table_rows,
     data_bytes, index_bytes, total_bytes, 1 AS rank_no FROM obj""",
 )
+oracle(
+    "s6_summary_lines",
+    ["snap"],
+    """SELECT stat_time, instance_id, logical_data_bytes, logical_index_bytes,
+    CASE WHEN collect_status = 'ok' THEN logical_total_bytes END AS logical_total_bytes,
+    CASE WHEN collect_status = 'ok' THEN mysql_version END AS mysql_version FROM snap""",
+)
+oracle(
+    "s6_collection_lines",
+    ["coll_aligned"],
+    """SELECT stat_time, db_name, coll_name, doc_count, data_bytes, index_bytes, logical_total_bytes,
+    physical_total_bytes FROM coll_aligned""",
+)
+oracle(
+    "s7_output_lines",
+    ["output_lines"],
+    """SELECT instance_id, row_number() OVER (PARTITION BY instance_id ORDER BY line_no) AS line_no, line
+FROM output_lines""",
+)
 _PICKED = """, f AS (SELECT instance_id, string_split(arg_max(line, line_no), chr(9)) AS f
     FROM output_lines WHERE len(string_split(line, chr(9))) >= 6 GROUP BY instance_id),
 summary AS (SELECT instance_id,
@@ -473,6 +492,7 @@ summary AS (SELECT instance_id,
     CAST(f[4] AS BIGINT) AS logical_total_bytes, CAST(f[5] AS BIGINT) AS physical_total_bytes,
     f[6] AS version, f[2] <> '' AS complete FROM f)"""
 oracle("s7_pick_summary_line", ["output_lines"], _PICKED + " SELECT * FROM summary")
+oracle("s7_summary_of_files", ["output_lines"], _PICKED + " SELECT * FROM summary")
 oracle(
     "p11_status_document",
     ["asset", "output_lines", "errors"],
@@ -915,6 +935,9 @@ grown AS (SELECT instance_id, oldest AS first_stat_time, newest AS last_stat_tim
 
 
 oracle("d2_growth_7d", ["snap"], _growth(7) + " SELECT * FROM grown")
+_DENSE = """, dense AS (SELECT * REPLACE (TIMESTAMP '1992-01-01' + INTERVAL 8 HOUR
+    * ((year(stat_time) - 1992) * 12 + month(stat_time) - 1) AS stat_time) FROM snap)"""
+oracle("d2_growth_by_days", ["snap"], _DENSE + _growth(7).replace("FROM snap", "FROM dense") + " SELECT * FROM grown")
 oracle("d2_growth_14d", ["snap"], _growth(14) + " SELECT * FROM grown")
 for _name, _days in (("d3_avg_daily_growth", 7), ("d3_avg_daily_growth_year", 365)):
     _between = "CAST(date_diff('day', first_stat_time, last_stat_time) AS INTEGER)"

@@ -29,7 +29,9 @@ from waterline.model import (
     DATE_COLUMN,
     FACTS,
     OBJECT_SYSTEM_SCHEMAS,
+    DOCUMENT_OBJECT_LINE,
     RELATIONAL_OBJECT_LINE,
+    RELATIONAL_SUMMARY_LINE,
     SUMMARY_SYSTEM_SCHEMAS,
     TableNames,
 )
@@ -39,6 +41,7 @@ from waterline.operators.assets import (
     upsert_assets_fill,
     validate_assets,
 )
+from waterline.operators.daily import growth_by_days
 from waterline.operators.filters import (
     active_assets,
     base_tables,
@@ -80,6 +83,7 @@ from waterline.operators.snapshots import (
 from waterline.operators.status import derive_status
 from waterline.plans import collect, reports, trends
 from waterline.sources.assets import read_assets, store_assets, update_assets
+from waterline.sources.daily import merge_day_points, read_day_points
 from waterline.sources.facts import (
     merge_days,
     append_objects,
@@ -94,6 +98,7 @@ from waterline.sources.feeds import (
     read_coll_stats,
     read_collector_tsv,
     read_db_stats,
+    read_output_lines,
     read_table_stats,
 )
 from waterline.sources.pointers import append_with_pointers, read_pointers
@@ -257,14 +262,63 @@ def _(spark, sf_dir):
         "total_bytes",
         F.lit(1),
     )
-    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NULL")) for c in ranked.columns]
-    ranked.select(F.concat_ws("\t", *fields).alias("line")).write.text(path)
+    _write_tsv(ranked, path)
     return read_collector_tsv(spark, path, RELATIONAL_OBJECT_LINE)
 
 
+def _write_tsv(df: DataFrame, path: str) -> None:
+    """Lines as a collector writes them; a missing value is the word NULL."""
+    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NULL")) for c in df.columns]
+    df.select(F.concat_ws("\t", *fields).alias("line")).write.text(path)
+
+
+@query("s6_summary_lines")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "collector")
+    failed = F.col("collect_status") != "ok"
+    lines = view(spark, sf_dir, "snap").select(
+        F.date_format("stat_time", "yyyy-MM-dd HH:mm:ss"),
+        "instance_id",
+        "logical_data_bytes",
+        "logical_index_bytes",
+        F.when(~failed, F.col("logical_total_bytes")),
+        F.when(~failed, F.col("mysql_version")),
+    )
+    _write_tsv(lines, path)
+    return read_collector_tsv(spark, path, RELATIONAL_SUMMARY_LINE)
+
+
+@query("s6_collection_lines")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "collector")
+    iso = F.date_format("stat_time", "yyyy-MM-dd'T'HH:mm:ss'.125Z'")
+    _write_tsv(view(spark, sf_dir, "coll_aligned").select(iso, *DOCUMENT_OBJECT_LINE.names[1:]), path)
+    read = read_collector_tsv(spark, path, DOCUMENT_OBJECT_LINE)
+    return read.withColumn("stat_time", normalize_iso_time(F.col("stat_time")))
+
+
 _report("s7_pick_summary_line", pick_summary_line, "output_lines")
 
 
+def _output_files(spark: SparkSession, sf_dir: str) -> str:
+    """The collector's output as it lands: a file for each instance, its lines in order."""
+    path = scratch_path(spark, "output")
+    lines = F.array_sort(F.collect_list(F.struct("line_no", "line")))["line"]
+    files = view(spark, sf_dir, "output_lines").groupBy("instance_id").agg(F.array_join(lines, "\n").alias("text"))
+    files.write.partitionBy("instance_id").text(path)
+    return path
+
+
+@query("s7_output_lines")
+def _(spark, sf_dir):
+    return read_output_lines(spark, _output_files(spark, sf_dir)).drop("file")
+
+
+@query("s7_summary_of_files")
+def _(spark, sf_dir):
+    return pick_summary_line(read_output_lines(spark, _output_files(spark, sf_dir)))
+
+
 @query("s8_asset_records")
 def _(spark, sf_dir):
     path = scratch_path(spark, "records")
@@ -734,6 +788,30 @@ _report(
     "asset",
     "snap",
 )
+
+
+def _dense_runs(snapshots: DataFrame) -> DataFrame:
+    """The same rows as a history of a few weeks, eight hours for each month, so that windows open within a day."""
+    month = F.date_trunc("month", "stat_time").cast("timestamp_ntz")
+    months = (F.year(month) - 1992) * 12 + F.month(month) - 1
+    start = F.lit("1992-01-01").cast("timestamp_ntz")
+    return snapshots.withColumn("stat_time", start + F.make_dt_interval(hours=months * 8))
+
+
+@query("d2_growth_by_days")
+def _(spark, sf_dir):
+    """Growth of seven days from stored day points; the older half of the runs comes late and twice."""
+    path, days = scratch_path(spark, "facts"), scratch_path(spark, "day-points")
+    runs = _dense_runs(view(spark, sf_dir, "snap"))
+    late = runs.where(F.col("stat_time") < "1992-01-15")
+    append_snapshot(runs, "mysql_instance", path)
+    for part in (runs.where(F.col("stat_time") >= "1992-01-15"), late, late):
+        merge_day_points(part, "mysql_instance", days)
+    return growth_by_days(
+        read_day_points(spark, "mysql_instance", days), read_snapshots(spark, "mysql_instance", path), 7
+    )
+
+
 _report("d3_avg_daily_growth", lambda s: trends.avg_daily_growth(s, 7), "snap")
 _report("d3_avg_daily_growth_year", lambda s: trends.avg_daily_growth(s, 365), "snap")
 _report(

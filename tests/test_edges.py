@@ -223,6 +223,11 @@ def test_uri_seal(spark):
     uri = "mongodb://u:p@host:1/db"
     sealed = one(spark, seal_uri(lit(uri, "string"), KEY, IV))
     assert "host" not in sealed and len(sealed) == 44  # two blocks in base64
+    # As `openssl enc -aes-256-cbc -base64` gives it for this key and IV.
+    key, iv = "00112233445566778899aabbccddeeff" * 2, "0f0e0d0c0b0a09080706050403020100"
+    known = "e0XVW++czxvrkHouF40c0ONcbcypL/iFsRPZI4MadDo="
+    assert one(spark, seal_uri(lit(uri, "string"), key, iv)) == known
+    assert one(spark, open_uri(lit(known, "string"), key, iv)) == uri
     assert one(spark, open_uri(lit(sealed[:20] + "\n" + sealed[20:], "string"), KEY, IV)) == uri
     assert one(spark, open_uri(lit("no ciphertext", "string"), KEY, IV)) is None
 

@@ -28,6 +28,7 @@ from waterline.sources.feeds import (
     read_coll_stats,
     read_collector_tsv,
     read_db_stats,
+    read_output_lines,
 )
 from waterline.sources.reports import export_tsv, report_cells
 from waterline.sources.scratch import scratch_path
@@ -77,6 +78,28 @@ def test_collector_tsv(spark, tmp_path):
     ]
 
 
+def test_output_lines_are_numbered_whatever_the_splits(spark, tmp_path):
+    texts = {1: "a\r\nb\n\nc\n", 2: "", 3: "no end", 4: "\n", 5: "x\n" * 5000, 6: "\tq\r\n\r\n"}
+    for instance, text in texts.items():
+        folder = tmp_path / f"instance_id={instance}"
+        folder.mkdir()
+        (folder / "out.tsv").write_text(text, newline="")
+    (tmp_path / "other.tsv").write_text("nobody's\n")
+    wanted = [(None, 1, "nobody's")]
+    for instance, text in texts.items():
+        lines = text.replace("\r\n", "\n").removesuffix("\n").split("\n") if text else []
+        wanted += [(instance, n, line) for n, line in enumerate(lines, 1)]
+    for most in ("128m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        try:
+            got = read_output_lines(spark, str(tmp_path))
+            assert values(got, "instance_id", "line_no", "line") == sorted(wanted, key=str)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    with pytest.raises(Exception, match="too large"):
+        read_output_lines(spark, str(tmp_path), max_bytes=5000).collect()
+
+
 def test_summary_line_in_noise(spark):
     good = "2026-01-01T09:00:00.1Z\t1\t2\t3\t4\t7.0"
     lines = spark.createDataFrame(

@@ -113,6 +113,12 @@ ENTITY_KEYS = {
     "mongo_object": ("instance_id", "db_name", "coll_name"),
 }
 
+# Sizes that the day points of an instance fact keep.
+POINT_SIZES = {
+    "mysql_instance": ("logical_total_bytes",),
+    "mongo_instance": ("logical_total_bytes", "physical_total_bytes"),
+}
+
 # Times that a pointer table keeps of each entity, beside its keys.
 POINTER_TIMES = ("newest_time", "last_time", "prev_time")
 

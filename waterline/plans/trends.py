@@ -78,7 +78,11 @@ def avg_daily_growth(
     instances: DataFrame, days: int = 7, size: str = "logical_total_bytes", few: bool = False
 ) -> DataFrame:
     """Growth per day; NULL where the window holds a single day."""
-    grown = growth(instances, days, size, few)
+    return daily_average(growth(instances, days, size, few))
+
+
+def daily_average(grown: DataFrame) -> DataFrame:
+    """Growth per day of the rows of growth or growth_by_days."""
     between = F.date_diff("last_stat_time", "first_stat_time")
     return grown.select(
         "instance_id",

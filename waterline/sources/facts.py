@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,31 +55,42 @@ def append_snapshot_table(df: DataFrame, kind: str, names: TableNames) -> None:
     _as_stored(df, kind).write.insertInto(names.of(kind))
 
 
-def merge_days(
-    df: DataFrame, kind: str, path: str, keys: Sequence[str], tiebreak: Sequence[str] = ()
+def replace_days(
+    new: DataFrame, schema: T.StructType, path: str, merge: Callable[[DataFrame], DataFrame]
 ) -> None:
-    """Merge snapshots into a table with one row for each entity and day, the last snapshot of the day.
+    """Replace the stored days that new rows fall on by what `merge` makes of their rows, stored and new.
 
-    Only the days that the snapshots fall on are read and replaced, each as a whole; running the same snapshots again
-    changes nothing. Ties of time go to the larger tiebreak. The merged days are written to the shared folder first, as
-    a job must not replace files it reads; two merges of the same day must not run at once.
+    Only those days are read and written, each as a whole. The merged days go to the shared folder first, as a job must
+    not replace files it reads; two merges of the same day must not run at once.
     """
-    spark = df.sparkSession
-    new = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACTS[kind].fields])
-    new = new.where(F.col("stat_time").isNotNull()).withColumn(DATE_COLUMN, F.to_date("stat_time"))
+    spark = new.sparkSession
+    rows = new
     try:
         days = new.select(DATE_COLUMN).distinct()
-        held = read_snapshots(spark, kind, path).join(days, DATE_COLUMN, "left_semi")
-        new = held.select(*new.columns).unionByName(new)
+        held = spark.read.schema(schema).parquet(path).join(days, DATE_COLUMN, "left_semi")
+        rows = held.select(*new.columns).unionByName(new)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
     merged = scratch_path(spark, "days")
-    daily_grain(new, keys, tiebreak=tiebreak).select(*new.columns).write.parquet(merged)
-    days = spark.read.schema(_stored_schema(kind)).parquet(merged).hint("rebalance", DATE_COLUMN)
+    merge(rows).select(*new.columns).write.parquet(merged)
+    days = spark.read.schema(schema).parquet(merged).hint("rebalance", DATE_COLUMN)
     days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE_COLUMN).parquet(path)
 
 
+def merge_days(
+    df: DataFrame, kind: str, path: str, keys: Sequence[str], tiebreak: Sequence[str] = ()
+) -> None:
+    """Merge snapshots into a table with one row for each entity and day, the last snapshot of the day.
+
+    Only the days that the snapshots fall on are replaced (see replace_days); running the same snapshots again changes
+    nothing. Ties of time go to the larger tiebreak.
+    """
+    new = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACTS[kind].fields])
+    new = new.where(F.col("stat_time").isNotNull()).withColumn(DATE_COLUMN, F.to_date("stat_time"))
+    replace_days(new, _stored_schema(kind), path, lambda rows: daily_grain(rows, keys, tiebreak=tiebreak))
+
+
 def of_ok_instances(objects: DataFrame, statuses: DataFrame) -> DataFrame:
     """Object rows of the instances that the run collected without failure."""
     ok = statuses.where(is_ok(F.col("collect_status"))).select("instance_id")

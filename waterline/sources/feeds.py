@@ -113,6 +113,32 @@ def read_collector_tsv(spark: SparkSession, path: str, schema: T.StructType) ->
     )
 
 
+# Collector output is a few lines an instance; a file is read in one piece up to this size.
+MAX_OUTPUT_BYTES = 64 * 1024**2
+
+
+def read_output_lines(
+    spark: SparkSession, path: str, instance: str = r"instance_id=(\d+)/", max_bytes: int = MAX_OUTPUT_BYTES
+) -> DataFrame:
+    """Lines of collector output files with their number in the file, from 1, whatever the splits of the scan.
+
+    `instance` is a regular expression whose first group is the instance id in a file's path; a file without one gives
+    NULL. An instance with several files has each of their numbers: `file` tells them apart. Lines end with LF or CR LF;
+    an empty file has none. Files are read whole, so one of more than max_bytes fails the job.
+    """
+    whole = spark.read.schema("value string").text(path, wholetext=True, recursiveFileLookup=True)
+    size, file = F.col("_metadata.file_size"), F.col("_metadata.file_path")
+    too_large = F.raise_error(F.concat(F.lit("collector output too large to number its lines: "), file))
+    files = whole.select(file.alias("file"), F.when(size <= max_bytes, F.col("value")).otherwise(too_large).alias("text"))
+    # The end of the last line opens no further one.
+    text = F.regexp_replace("text", r"\r?\n\z", "")
+    lines = files.where(F.col("text") != "").select("file", F.posexplode(F.split(text, r"\r?\n")))
+    found = F.regexp_extract("file", instance, 1).try_cast("bigint")
+    return lines.select(
+        "file", found.alias("instance_id"), (F.col("pos") + 1).cast("bigint").alias("line_no"), F.col("col").alias("line")
+    )
+
+
 _SUMMARY_FIELDS = (
     "logical_data_bytes",
     "logical_index_bytes",
