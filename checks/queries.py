@@ -368,14 +368,12 @@ def _(spark, sf_dir):
     return read_assets(spark, path).drop("secret_ref")
 
 
-_report(
-    "k4_asset_upsert_fill_on_insert",
-    lambda a, r: upsert_assets_fill(
-        _stored_assets(a), validate_assets(r, "mysql")[0], RUN_TS, fill_on_insert=True
-    ).select("instance_id", "instance_name", "env", "login_path"),
-    "asset",
-    "records",
-)
+@query("k4_asset_upsert_fill_on_insert")
+def _(spark, sf_dir):
+    held = read_assets(spark, _asset_table(spark, sf_dir))
+    records = validate_assets(view(spark, sf_dir, "records"), "mysql")[0]
+    merged = upsert_assets_fill(held, records, RUN_TS, fill_on_insert=True)
+    return merged.select("instance_id", "instance_name", "env", "login_path")
 
 
 @query("k5_asset_upsert_overwrite")

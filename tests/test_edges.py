@@ -328,6 +328,35 @@ def test_fill_rule(spark):
     }
 
 
+def test_import_is_evaluated_once(spark):
+    """Known assets with NULL environment match; twins fill the older one; the import's rows are made once."""
+    held = assets(spark, (1, None), (2, "RTM")).withColumns(
+        {
+            "instance_name": F.lit("n"),
+            "login_path": F.lit(None).cast("string"),
+            "username": F.lit("u"),
+            "secret_ref": F.lit(None).cast("string"),
+            "created_at": F.lit("2026-01-01").cast("timestamp_ntz"),
+            "updated_at": F.lit("2026-01-01").cast("timestamp_ntz"),
+        }
+    )
+    twins = held.unionByName(held.withColumn("instance_id", F.col("instance_id") + 10))
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            evaluated.add(len(frame))
+            yield frame
+
+    rows = [(1, "mysql", "n", "a", None, "h", 3306, "u", "new"), (2, "mysql", "x", "a", "RTM", "h", 1, "u", None)]
+    schema = "line_no long, type string, instance_name string, alias_name string, env string, host string, port int, username string, login_path string"
+    incoming = spark.createDataFrame(rows, schema).mapInPandas(counted, schema)
+    merged = upsert_assets_fill(twins, incoming, "2026-02-01 00:00:00")
+    got = values(merged, "instance_id", "instance_name", "login_path")
+    assert got == [(1, "n", "new"), (11, "n", None), (12, "n", None), (13, "x", None), (2, "n", None)]
+    assert evaluated.value == len(rows)
+
+
 def test_overwrite_rule(spark):
     known = _table(spark, assets(spark, (7, "MOS"), kind="mongo"))
     records = spark.createDataFrame(

@@ -11,6 +11,7 @@ from waterline.functions import blank_to_null, is_blank, seal_uri, strip_quotes,
 from waterline.model import ASSETS, ENVS, RELATIONAL_DEFAULT_PORT
 from waterline.operators.filters import normalize_asset_types
 from waterline.operators.ranking import dense_numbers
+from waterline.sources.scratch import scratch_path
 
 # What makes two assets the same one. The environment may be NULL and then matches NULL.
 NATURAL_KEY = ("type", "env", "host", "port", "instance_name")
@@ -72,32 +73,42 @@ def validate_assets(records: DataFrame, kind: str) -> tuple[DataFrame, DataFrame
     return accepted, judged.where(F.col("reject_reason").isNotNull())
 
 
-def _known(assets: DataFrame) -> DataFrame:
-    """Natural keys of the table, each with its lowest instance_id."""
-    keys = [F.col(c).alias(f"known_{c}") for c in NATURAL_KEY]
-    return assets.groupBy(*keys).agg(F.min("instance_id").alias("instance_id"))
+def _found(assets: DataFrame, incoming: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Incoming records, one for each natural key, with the lowest instance_id of the assets they name; NULL for new ones.
 
-
-def _same_asset() -> Column:
-    same = F.lit(True)
-    for name in NATURAL_KEY:
-        same = same & F.col(name).eqNullSafe(F.col(f"known_{name}"))
-    return same
+    Table and import are grouped in one pass, whose result goes to the shared folder: fills, inserts and the numbers
+    of new assets read it there, and the import is evaluated once.
+    """
+    absent = [F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in fields]
+    held = assets.select(*NATURAL_KEY, "instance_id", *absent, F.lit(False).alias("_given"))
+    new = incoming.select(
+        *NATURAL_KEY, F.lit(None).cast("bigint").alias("instance_id"), *fields, F.lit(True).alias("_given")
+    )
+    # Grouping takes NULL as equal to NULL.
+    grouped = held.unionByName(new).groupBy(*NATURAL_KEY).agg(
+        F.min("instance_id").alias("instance_id"),
+        *[F.max(c).alias(c) for c in fields],
+        F.bool_or("_given").alias("_given"),
+    )
+    found = grouped.where("_given").drop("_given")
+    spark = assets.sparkSession
+    path = scratch_path(spark, "asset-import")
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
-def _matches(assets: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _matches(found: DataFrame, columns: Sequence[str]) -> DataFrame:
     """instance_id and incoming values of every asset that an incoming record names."""
-    return incoming.join(_known(assets), _same_asset()).select(
+    return found.where(F.col("instance_id").isNotNull()).select(
         "instance_id", *[F.col(c).alias(f"new_{c}") for c in columns], F.lit(True).alias("matched")
     )
 
 
 def _insert(
-    assets: DataFrame, incoming: DataFrame, run_ts: str, values: dict[str, Column]
+    assets: DataFrame, found: DataFrame, run_ts: str, values: dict[str, Column]
 ) -> DataFrame:
     """New asset rows for the incoming records that name no existing asset."""
-    known = _known(assets).drop("instance_id")
-    fresh = incoming.join(known, _same_asset(), "left_anti")
+    fresh = found.where(F.col("instance_id").isNull()).drop("instance_id")
     # A one-row subquery, evaluated once when the result runs.
     highest = assets.agg(F.coalesce(F.max("instance_id"), F.lit(0))).scalar()
     numbered = dense_numbers(fresh, NATURAL_KEY, "_new_number")
@@ -143,7 +154,8 @@ def upsert_assets_fill(
         F.max(F.when(~is_first, F.coalesce("login_path", "instance_name"))).alias("repeated_path"),
     )
 
-    matched = _matches(assets, merged, ["login_path"])
+    found = _found(assets, merged, ["alias_name", "username", "login_path", "repeated_path"])
+    matched = _matches(found, ["login_path"])
     fills = F.col("matched") & blank_to_null(F.col("login_path")).isNull()
     filled = F.coalesce(fills, F.lit(False))
     kept = assets.join(matched, "instance_id", "left").withColumns(
@@ -159,7 +171,7 @@ def upsert_assets_fill(
     path = F.coalesce("login_path", "instance_name" if fill_on_insert else "repeated_path")
     added = _insert(
         assets,
-        merged,
+        found,
         run_ts,
         {"auth_mode": F.lit("login_path"), "login_path": path, "is_active": F.lit(1)},
     )
@@ -176,12 +188,11 @@ def upsert_assets_overwrite(assets: DataFrame, incoming: DataFrame, run_ts: str)
     latest = incoming.groupBy(*NATURAL_KEY).agg(
         F.max_by(F.struct(*fields), "line_no").alias("_record")
     )
-    latest = latest.select(*NATURAL_KEY, "_record.*").withColumn(
-        "auth_mode", F.lit("mongo_uri_aes")
-    )
+    latest = latest.select(*NATURAL_KEY, "_record.*")
+    found = _found(assets, latest, fields).withColumn("auth_mode", F.lit("mongo_uri_aes"))
 
     overwritten = (*fields, "auth_mode")
-    matched = _matches(assets, latest, overwritten)
+    matched = _matches(found, overwritten)
     hit = F.coalesce("matched", F.lit(False))
     kept = assets.join(matched, "instance_id", "left").withColumns(
         {
@@ -191,7 +202,7 @@ def upsert_assets_overwrite(assets: DataFrame, incoming: DataFrame, run_ts: str)
             ),
         }
     )
-    return _with_asset_schema(kept).unionByName(_insert(assets, latest, run_ts, {}))
+    return _with_asset_schema(kept).unionByName(_insert(assets, found, run_ts, {}))
 
 
 def load_assets(
