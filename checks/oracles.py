@@ -937,7 +937,7 @@ grown AS (SELECT instance_id, oldest AS first_stat_time, newest AS last_stat_tim
 oracle("d2_growth_7d", ["snap"], _growth(7) + " SELECT * FROM grown")
 _DENSE = """, dense AS (SELECT * REPLACE (TIMESTAMP '1992-01-01' + INTERVAL 8 HOUR
     * ((year(stat_time) - 1992) * 12 + month(stat_time) - 1) AS stat_time) FROM snap)"""
-oracle("d2_growth_by_days", ["snap"], _DENSE + _growth(7).replace("FROM snap", "FROM dense") + " SELECT * FROM grown")
+oracle("d2_stored_growth_7d", ["snap"], _DENSE + _growth(7).replace("FROM snap", "FROM dense") + " SELECT * FROM grown")
 oracle("d2_growth_14d", ["snap"], _growth(14) + " SELECT * FROM grown")
 for _name, _days in (("d3_avg_daily_growth", 7), ("d3_avg_daily_growth_year", 365)):
     _between = "CAST(date_diff('day', first_stat_time, last_stat_time) AS INTEGER)"

@@ -300,8 +300,19 @@ def _(spark, sf_dir):
 _report("s7_pick_summary_line", pick_summary_line, "output_lines")
 
 
+# Folders of collector output, written once in a session.
+_OUTPUT: dict[tuple[str, str], str] = {}
+
+
 def _output_files(spark: SparkSession, sf_dir: str) -> str:
     """The collector's output as it lands: a file for each instance, its lines in order."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OUTPUT:
+        _OUTPUT[key] = _write_output(spark, sf_dir)
+    return _OUTPUT[key]
+
+
+def _write_output(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "output")
     lines = F.array_sort(F.collect_list(F.struct("line_no", "line")))["line"]
     files = view(spark, sf_dir, "output_lines").groupBy("instance_id").agg(F.array_join(lines, "\n").alias("text"))
@@ -796,7 +807,7 @@ def _dense_runs(snapshots: DataFrame) -> DataFrame:
     return snapshots.withColumn("stat_time", start + F.make_dt_interval(hours=months * 8))
 
 
-@query("d2_growth_by_days")
+@query("d2_stored_growth_7d")
 def _(spark, sf_dir):
     """Growth of seven days from stored day points; the older half of the runs comes late and twice."""
     path, days = scratch_path(spark, "facts"), scratch_path(spark, "day-points")
