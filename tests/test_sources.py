@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from checks import queries
 from tests.rows import GIB, assets, day, snaps, tables, values
 import pytest
 from waterline.operators.assets import validate_assets
@@ -28,6 +29,7 @@ from waterline.sources.feeds import (
     read_coll_stats,
     read_collector_tsv,
     read_db_stats,
+    pack_output,
     read_output_lines,
 )
 from waterline.sources.reports import export_tsv, report_cells
@@ -100,6 +102,36 @@ def test_output_lines_are_numbered_whatever_the_splits(spark, tmp_path):
         read_output_lines(spark, str(tmp_path), max_bytes=5000).collect()
 
 
+def test_packed_output_gives_the_lines_of_files(spark, tmp_path):
+    texts = {1: "a\r\nb\n\nc\n", 2: "", 3: "no end", 4: "\n", 5: "x\n" * 5000, 6: "\tq\r\n\r\n"}
+    for instance, text in texts.items():
+        (tmp_path / "files" / f"instance_id={instance}").mkdir(parents=True)
+        (tmp_path / "files" / f"instance_id={instance}" / "out.tsv").write_text(text, newline="")
+    rows = [(f"instance_id={i}/out.tsv", text) for i, text in texts.items()]
+    pack_output(spark.createDataFrame(rows, "file string, text string"), str(tmp_path / "packed"))
+    columns = ("instance_id", "line_no", "line")
+    got = read_output_lines(spark, str(tmp_path / "packed"), packed=True)
+    assert values(got, *columns) == values(read_output_lines(spark, str(tmp_path / "files")), *columns)
+    with pytest.raises(Exception, match="too large"):
+        read_output_lines(spark, str(tmp_path / "packed"), max_bytes=5000, packed=True).collect()
+
+
+def test_output_of_many_instances_lands_in_few_files(spark, tmp_path, monkeypatch):
+    rows = [(i, i, 1 + i % 3, "F") for i in range(1, 400)] + [(900, None, 1, "P")]
+    columns = "o_orderkey bigint, o_custkey bigint, day int, o_orderstatus string"
+    orders = spark.createDataFrame(rows, columns).selectExpr(
+        "o_orderkey", "o_custkey", "o_orderstatus", "make_timestamp_ntz(1995, 1, day, 0, 0, 0) AS o_orderdate",
+        "10.5D AS o_totalprice", "'1-URGENT' AS o_orderpriority",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    folder = queries._write_output(spark, str(tmp_path))
+    landed = [f for _, _, names in os.walk(folder.removeprefix("file:")) for f in names if not f.startswith((".", "_"))]
+    assert len(landed) < 50
+    lines = read_output_lines(spark, folder, packed=True)
+    assert lines.select("instance_id").distinct().count() == 400
+    assert lines.where("instance_id IS NULL").count() == 1
+
+
 def test_summary_line_in_noise(spark):
     good = "2026-01-01T09:00:00.1Z\t1\t2\t3\t4\t7.0"
     lines = spark.createDataFrame(
