@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from checks import queries
+from checks.views import view
 from tests.rows import GIB, assets, day, snaps, tables, values
 import pytest
 from waterline.operators.assets import validate_assets
@@ -149,6 +150,26 @@ def test_summary_line_in_noise(spark):
     ]
 
 
+def test_statistics_are_neither_dealt_by_sorting_nor_sorted_for_sums(spark, sf_dir):
+    plan = view(spark, sf_dir, "db_documents")._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" not in plan
+    sums = document_storage_summary(read_db_stats(view(spark, sf_dir, "db_documents")))
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[instance_id" in plan.split("v#")[0]
+
+
+def test_storage_of_documents_of_several_versions(spark):
+    entry = '{"name":"d","ok":1,"dataSize":5,"indexSize":2,"storageSize":9}'
+    texts = [
+        (1, '{"ok":1,"version":"6.0","databases":[%s]}' % entry), (1, '{"ok":1,"version":"7.0","databases":[%s]}' % entry),
+        (1, '{"ok":1,"databases":[]}'), (2, '{"ok":1,"databases":[%s]}' % entry), (3, '{"ok":1,"version":"7.0"}'),
+        (4, '{"ok":1,"version":"7.0","databases":[%s]}' % entry), (4, '{"ok":false}'),
+    ]
+    stats = read_db_stats(spark.createDataFrame(texts, "instance_id bigint, document string"))
+    got = values(document_storage_summary(stats), "instance_id", "logical_data_bytes", "physical_total_bytes", "mongo_version")
+    assert got == [(1, 10, 22, "7.0"), (2, 5, 11, ""), (3, 0, 0, "7.0")]
+
+
 def test_statistics_documents(spark):
     documents = spark.createDataFrame(
         [
