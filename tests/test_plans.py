@@ -42,6 +42,11 @@ def shuffled_joins(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_rank_changes_read_stored_ranks(spark, sf_dir):
+    plan = planned(QUERIES["d9_rank_delta"](spark, sf_dir))
+    assert "_place" not in plan and "lineitem" not in plan
+
+
 def test_latest_combines_before_the_shuffle(spark, sf_dir):
     plan = planned(latest(view(spark, sf_dir, "snap"), ["instance_id"]))
     assert "partial_max" in plan and "Window" not in plan
