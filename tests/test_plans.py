@@ -42,6 +42,12 @@ def shuffled_joins(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_stored_pairs_share_one_shuffle_of_facts(spark, sf_dir, shuffled_joins):
+    plan = executed(QUERIES["j6_stored_object_prev"](spark, sf_dir))
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "total_bytes" in line]
+    assert len(scans) == 1
+
+
 def test_rank_changes_read_stored_ranks(spark, sf_dir):
     plan = planned(QUERIES["d9_rank_delta"](spark, sf_dir))
     assert "_place" not in plan and "lineitem" not in plan
