@@ -48,6 +48,13 @@ def test_stored_pairs_read_the_same_days(spark, sf_dir, shuffled_joins):
     assert plan.count("Generate explode(array(") >= 2
 
 
+def test_table_report_fetches_its_rows_once(spark, sf_dir, shuffled_joins):
+    """A sort reads its input twice, first to sample it: between it and the join with the facts lies a shuffle."""
+    for name in ("r4_stored_object_latest", "r4_object_latest"):
+        sorted_rows = planned(QUERIES[name](spark, sf_dir)).split("rangepartitioning")[1]
+        assert "REBALANCE" in sorted_rows.split("Join")[0]
+
+
 def test_rank_changes_read_stored_ranks(spark, sf_dir):
     plan = planned(QUERIES["d9_rank_delta"](spark, sf_dir))
     assert "_place" not in plan and "lineitem" not in plan
