@@ -1,6 +1,7 @@
 """The corpus pipeline, stage by stage, and the queries that have SQL."""
 
 import random
+import re
 
 import duckdb
 
@@ -92,6 +93,17 @@ def test_one_row_of_each_group_where_numbers_repeat(spark, sf_dir):
     assert found == sorted([("3", same.upper() + " "), ("5", "a text of its own"), ("None", "only this one"), ("9", " ")])
 
 
+def test_stage_does_not_broadcast_copies_of_classes(spark, sf_dir):
+    """Spark sizes an explode as its input, so it took 32 copies of each class for a small table."""
+    given = [(i, f"text number {i} of some words", "en", "s", 20) for i in range(50)]
+    docs = spark.createDataFrame(given, spark.read.parquet(f"{sf_dir}/documents.parquet").schema)
+    found = dict(corpus_pipeline.STAGES)["SimHash near-duplicates"](spark, docs, sf_dir)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    assert re.findall(r"(\w+Join) \[.*__salt", plan) == ["SortMergeJoin"]
+    assert found.count() == len(given)
+
+
 def test_queries_agree_with_sql(spark, sf_dir):
     with duckdb.connect() as db:
         for table in ("documents", "pages"):

@@ -254,10 +254,14 @@ def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, bucket: int = BUCKE
 
 
 def _attach(rows: DataFrame, classes: DataFrame, salts: int = 32) -> DataFrame:
-    """Rows with the class of their fingerprint. A fingerprint may hold a third of all rows, so both sides are salted."""
+    """Rows with the class of their fingerprint. A fingerprint may hold a third of all rows, so both sides are salted.
+
+    Spark sizes the copies as the one stored table they come from, and would send all of them to the driver and each
+    executor: the hint keeps to a shuffle.
+    """
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     copies = classes.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, ["fp", "__salt"]).drop("__salt")
+    return salted.join(copies.hint("merge"), ["fp", "__salt"]).drop("__salt")
 
 
 def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
