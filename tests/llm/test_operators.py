@@ -224,6 +224,12 @@ def test_simhash_rows(spark, odd, docs):
     assert simhash.fingerprint(text) == same and simhash.fingerprint("ÀB c") == simhash.fingerprint("Àb  C")
 
 
+def test_simhash_does_not_broadcast_copies_of_classes(odd):
+    """32 copies of each class were sized as one, and all of them went through the driver while one took under 10 MB."""
+    plan = simhash.near_duplicates(odd)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_url_lists_as_of(spark):
     from datetime import date
 
